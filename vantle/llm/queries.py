@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bpe, lengths, packing, rules, tokenio, topk
+from . import bpe, html, knn, lengths, packing, rules, tokenio, topk, toxicity
+from .labels import held_out
 
 BYTE_JSON, WORD_JSON, BYTE_RANKS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "byte_bpe_50k.tiktoken"))
 
@@ -19,11 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scored(scores: DataFrame, threshold: float) -> DataFrame:
+    predicted = F.when(F.col("score") >= threshold, 1).otherwise(0)
+    return scores.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum-of-squares packing of all documents in sequences of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_JSON, 2048, 0)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity of all documents, learnt outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic")
+    return scored(toxicity.score(docs, model), 0.5)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of all documents under policy v1."""
     rows = rules.ledger(table(spark, sf_dir, "documents"))
@@ -42,6 +55,18 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.suffix_sums(lengths.histogram(table(spark, sf_dir, "documents"), BYTE_JSON))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html.extract(table(spark, sf_dir, "pages"), "html", ("page_id", "url"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality vote of all documents, learnt outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    model = knn.fit(docs, table(spark, sf_dir, "labels"), "quality")
+    return scored(knn.score(docs, model), 0.3)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids written as Re-Pair shards and read back."""
     return tokenio.round_trip(table(spark, sf_dir, "documents"), WORD_JSON, 1)
@@ -54,9 +79,12 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_token_counts": op6_token_counts,
+    "op7_html_extraction": op7_html_extraction,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_token_files": op9_token_files,
     "op10_top_k_search": op10_top_k_search,
 }
