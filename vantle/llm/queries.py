@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bpe, html, knn, lengths, packing, rules, tokenio, topk, toxicity
+from . import bpe, html, knn, lengths, minhash, packing, rules, tokenio, topk, toxicity
 from .labels import held_out
 
 BYTE_JSON, WORD_JSON, BYTE_RANKS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "byte_bpe_50k.tiktoken"))
@@ -30,6 +30,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_JSON, 2048, 0)
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents on 2-word shingles at 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), 2, 80)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated toxicity of all documents, learnt outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -79,6 +84,7 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
