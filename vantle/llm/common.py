@@ -57,6 +57,23 @@ def text_batches(batches: Iterable[pa.RecordBatch], column: str = "text", most:
             yield part, part.column(part.schema.get_field_index(column)).to_pylist()
 
 
+def keep_rows(df: DataFrame, decide: Callable[[list[str]], list[bool]], text_col: str = "text") -> DataFrame:
+    """The rows whose text ``decide`` keeps, with all their columns; null text counts as empty.
+
+    Rows pass through whole, so nothing is joined and no column name can clash.
+    """
+    bound_arrow(df.sparkSession)
+    rows = df.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kind = df.schema.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_batches(batches):
+            kept = part.filter(pa.array(decide(texts), pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0)], names=["row"])
+
+    return rows.mapInArrow(run, f"row {kind}").select("row.*")
+
+
 def file_bytes(path: str) -> bytes:
     """A local vocabulary file of the driver; its content goes to the workers by broadcast."""
     with open(path, "rb") as file:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import text_batches, texts_of
+from .common import keep_rows, text_batches, texts_of
 from .labels import labelled_texts
 
 PAIRS, SHAPES = 1024, 12
@@ -118,3 +118,13 @@ def score(df: DataFrame, model: Neighbourhood, neighbours: int = NEIGHBOURS, id_
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sent.value.scores(shares, neighbours))], names=["doc_id", "score"])
 
     return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+
+
+def accept(df: DataFrame, model: Neighbourhood, threshold: float = 0.3, neighbours: int = NEIGHBOURS, text_col: str = "text") -> DataFrame:
+    """The rows of df, all columns, whose text scores ``threshold`` or more."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+
+    def decide(texts: list[str]) -> list[bool]:
+        return (sent.value.scores(np.stack([term_shares(t) for t in texts]), neighbours) >= threshold).tolist() if texts else []
+
+    return keep_rows(df, decide, text_col)

@@ -335,3 +335,11 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 80, id_col: str
     out = rows.select("doc_id", "n_shingles", "fingerprint").join(of, "fingerprint", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df, all columns, of the least doc_id of each group; a repeated doc_id keeps one row, null ids keep all."""
+    gone = near_duplicates(df, size, percent, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    named = df.filter(F.col(id_col).isNotNull())
+    kept = named.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti").dropDuplicates([id_col])
+    return kept.unionByName(df.filter(F.col(id_col).isNull()))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, texts_of
+from .common import bound_arrow, text_batches, texts_of
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
@@ -109,13 +109,31 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
 
 
+def failures_of(rules: tuple[Rule, ...] = RULES) -> Column:
+    """The failure bits of measured rows."""
+    mask: Column = F.lit(0)
+    for r in rules:
+        mask = mask.bitwiseOR(F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)))
+    return mask.cast("long")
+
+
 def ledger(df: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Measurements plus ``failures``: bit k is set if the rule with bit k fails."""
-    bits = [F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in rules]
-    mask: Column = F.lit(0)
-    for b in bits:
-        mask = mask.bitwiseOR(b)
-    return measure(df, id_col, text_col).withColumn("failures", mask.cast("long"))
+    return measure(df, id_col, text_col).withColumn("failures", failures_of(rules))
+
+
+def accept(df: DataFrame, policy: str = "v1", rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df, all columns, that pass a policy version."""
+    bound_arrow(df.sparkSession)
+    rows = df.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_batches(batches):
+            got = np.array([measure_text(t) for t in texts], np.int64).reshape(len(texts), len(MEASURES))
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(got[:, k]) for k in range(len(MEASURES)))], names=["row", *MEASURES])
+
+    measured = rows.mapInArrow(run, f"row {df.schema.simpleString()}, " + ", ".join(f"{m} long" for m in MEASURES))
+    return measured.withColumn("failures", failures_of(rules)).filter(kept_by(policy)).select("row.*")
 
 
 def mask_of(names: tuple[str, ...], rules: tuple[Rule, ...] = RULES) -> int:
