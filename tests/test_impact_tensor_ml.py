@@ -1,0 +1,101 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vantle.operators import impact, ml, tensor
+
+FAC = "facility_id string, sx double, sy double, amount double, chemical_count long"
+
+
+def setting(spark):
+    places = spark.createDataFrame([("p", 0.0, 0.0), ("q", 50_000.0, 0.0)], "place string, x double, y double")
+    fac = spark.createDataFrame([("f", 0.0, 0.0, 9.0, 1), ("g", -1000.0, 0.0, 5.0, 2)], FAC)
+    road = spark.createDataFrame([(0, [{"x": -500.0, "y": -500.0}, {"x": 500.0, "y": -500.0}])], "road_id int, part array<struct<x:double,y:double>>")
+    return places, fac, road
+
+
+def test_zero_distance(spark):
+    places, fac, _ = setting(spark)
+    assert {r["facility_id"] for r in impact.facility_pairs(places, fac, 10_000.0).collect()} == {"g"}
+    assert {r["facility_id"] for r in impact.facility_pairs(places, fac, 10_000.0, False).collect()} == {"f", "g"}
+
+
+def test_wind_scores(spark):
+    places, fac, road = setting(spark)
+    lookup = impact.pair_lookup(places, impact.facility_pairs(places, fac, 10_000.0), impact.road_pairs(places, road, 2_000.0))
+    cols = "zip string, wind_speed_10m double, wind_speed_100m double, wind_direction_10m_cos double, wind_direction_10m_sin double, wind_direction_100m_cos double, wind_direction_100m_sin double"
+    nan = float("nan")
+    rows = spark.createDataFrame([("p", 2.0, 2.0, 0.0, 1.0, 1.0, 0.0), ("q", 2.0, 2.0, 0.0, 1.0, 1.0, 0.0), ("x", None, 2.0, 0.0, 1.0, 1.0, 0.0), ("p", None, None, 0.0, 1.0, 1.0, 0.0), ("p", nan, nan, 0.0, 1.0, 1.0, 0.0), ("q", nan, nan, 0.0, 1.0, 1.0, 0.0)], cols)
+    got = [(r["zip"], r["road_impact_score"], r["facility_impact_score"]) for r in impact.wind_scores(rows, lookup, "zip").collect()]
+    by = {}
+    for z, a, b in got:
+        by.setdefault(z, []).append((a, b))
+    assert by["x"] == [(0.0, 0.0)] and by["q"] == [(0.0, 0.0), (0.0, 0.0)]
+    assert any(a == pytest.approx(2 * np.exp(-0.25)) and b == pytest.approx(0.7 * 2 * np.exp(-0.1)) for a, b in by["p"] if a is not None)
+    assert any(a is None and b is None for a, b in by["p"]) and any(a is not None and np.isnan(a) for a, b in by["p"])
+
+
+def test_static_scores(spark):
+    places, fac, road = setting(spark)
+    got = {r["place"]: r for r in impact.static_scores(places, fac, road).collect()}
+    assert got["p"]["road_impact_score"] == 1 and got["p"]["facility_count_nearby"] == 2 and got["q"]["facility_impact_score"] == 0
+    assert got["q"]["road_distance_m"] == pytest.approx(np.hypot(49_500, 500))
+    empty = {r["place"]: r["facility_impact_score"] for r in impact.static_scores(places, fac.limit(0), road).collect()}
+    assert set(empty.values()) == {0.0}
+
+
+def test_enrichment(spark):
+    f = spark.createDataFrame([("a", "1", "2", None), ("b", "1", "2", "7"), ("c", "x", "2", "7")], "facility_id string, lat string, lon string, amount string")
+    c = spark.createDataFrame([("a", "u", "3"), ("a", "v", "bad"), ("a", None, "1"), (None, "u", "9")], "facility_id string, chemical string, amount string")
+    assert {(r["facility_id"], r["amount"], r["chemical_count"]) for r in impact.enrich_facilities(f, c).collect()} == {("a", 0.0, 2), ("b", 7.0, 0)}
+    assert {r["amount"] for r in impact.enrich_facilities(f, c, "chemicals").collect()} == {4.0, 7.0}
+    with pytest.raises(ValueError):
+        impact.enrich_facilities(f, c, "other")
+
+
+def test_cells(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("t1", "a", 1, 1.0, 5.0), ("t1", "a", 2, None, nan), ("t2", "b", 3, 2.0, None), (None, "b", 4, 9.0, 9.0)], "time string, zip string, i int, u double, v double")
+    got = {tuple(r) for r in tensor.cells(df, "time", "zip", ["u", "v"], ["i"]).collect()}
+    assert got == {(0, 0, 0, 1.0), (0, 1, 0, 5.0), (1, 0, 1, 2.0)}
+    slices = {(r[0], r[1]): r[2] for r in tensor.dense_slices(tensor.cells(df, "time", "zip", ["u", "v"], ["i"]), 2).collect()}
+    assert slices[(0, 0)] == [1.0, None] and slices[(1, 0)] == [None, 2.0]
+
+
+def test_split_sizes():
+    assert tensor.split_sizes(10, 0.7, 0.2, 0.1) == (7, 2, 1)
+    for bad in ((2, 0.7, 0.2, 0.1), (3, 0.9, 0.05, 0.05), (10, 0.7, 0.2, 0.2)):
+        with pytest.raises(ValueError):
+            tensor.split_sizes(*bad)
+
+
+def test_fill_plane():
+    nan = np.nan
+    assert (tensor.fill_plane(np.full((2, 3), nan)) == 0).all()
+    plane = np.array([[1, nan, 3], [2, nan, nan], [nan, 4, 5]], np.float32)
+    out = tensor.fill_plane(plane)
+    seen = ~np.isnan(plane)
+    assert (out[seen] == plane[seen]).all() and not np.isnan(out).any()
+    i, j = 1, 1
+    near = [out[0, 1] + out[1, 0] - out[0, 0], out[0, 1], out[1, 0], out[2, 1], out[1, 2]]
+    assert out[i, j] == pytest.approx(np.mean(near), abs=1e-3)
+
+
+def test_filled_covers_every_cell(spark):
+    cells = spark.createDataFrame([(0, 0, 0, 1.0)], "t_idx int, f_idx int, h_idx int, value float")
+    parts = tensor.split(cells, 10, 0.7, 0.2, 0.1)
+    out = tensor.filled(parts, 2, {"train": 7, "val": 2, "test": 1}, 3)
+    assert out.count() == 10 * 2 * 3 and out.filter("value is null or isnan(value)").count() == 0
+    assert tensor.sequence_rows(out, 2, 3).select(F.size("input")).distinct().collect()[0][0] == 6
+
+
+def test_components(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 3)) @ np.diag([5, 2, 0.1])
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "i int, a double, b double, c double")
+    out, found = ml.principal_components(df, ["a", "b", "c"], 0.99, ["i"])
+    centred = x - x.mean(0)
+    values = np.sort(np.linalg.eigvalsh(np.cov(centred.T)))[::-1]
+    assert len(found.shares) == 2 and np.allclose(found.shares, (values / values.sum())[:2])
+    got = np.array([(r["PC1"], r["PC2"]) for r in out.orderBy("i").collect()])
+    assert np.allclose(got.var(0, ddof=1), values[:2])

@@ -56,7 +56,7 @@ def facility_pairs(places: DataFrame, facilities: DataFrame, radius: float, open
     scale = scale_of(pairs)
     dx, dy, d = F.col("x") - F.col("sx"), F.col("y") - F.col("sy"), F.col("dist_m")
     severity = 0.7 * clip01(F.col("amount") / F.col("amount_scale")) + 0.3 * clip01(F.col("chemical_count") / F.col("count_scale"))
-    return pairs.join(F.broadcast(scale)).withColumns({"dir_x": dx / d, "dir_y": dy / d, "severity": severity, "decay": decay(d, radius)}).drop("amount_scale", "count_scale")
+    return pairs.join(F.broadcast(scale)).withColumns({"dir_x": F.try_divide(dx, d), "dir_y": F.try_divide(dy, d), "severity": severity, "decay": decay(d, radius)}).drop("amount_scale", "count_scale")
 
 
 def road_parts_near(places: DataFrame, parts: DataFrame, radius: float) -> DataFrame:

@@ -66,7 +66,8 @@ def normalized_variance(c: str, nan_policy: str = "skip") -> Column:
     """
     v = _value(c, nan_policy)
     span = F.max(v) - F.min(v)
-    return F.when(span <= 0, F.lit(0.0)).otherwise(F.greatest(F.var_pop(v) / (span * span), F.lit(0.0)))
+    # without a value the span is NULL and so is the result: greatest() alone would give 0
+    return F.when(span <= 0, F.lit(0.0)).when(span.isNotNull(), F.greatest(F.var_pop(v) / (span * span), F.lit(0.0)))
 
 
 def population_variance(c: str) -> Column:

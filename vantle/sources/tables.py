@@ -41,7 +41,9 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", schema: T.StructTyp
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, missing: str = "", single_file: bool = False, mode: str = "overwrite") -> None:
     """CSV with a header in fixed column order; NULL as ``missing``, NaN as ``nan``."""
     out = df.select(*columns) if columns else df
-    (out.coalesce(1) if single_file else out).write.mode(mode).option("header", True).option("nullValue", missing).option("emptyValue", "").option("nanValue", "nan").csv(path)
+    floats = [f.name for f in out.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    out = out.withColumns({c: F.when(F.isnan(c), "nan").otherwise(F.col(c).cast("string")) for c in floats}) if floats else out
+    (out.coalesce(1) if single_file else out).write.mode(mode).option("header", True).option("nullValue", missing).option("emptyValue", "").csv(path)
 
 
 def concat_tables(tables: Sequence[DataFrame]) -> DataFrame:
