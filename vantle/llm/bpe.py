@@ -222,7 +222,7 @@ class PieceEncoder:
     def __init__(self, content: bytes, pattern: str):
         self.replay = MergeReplay(parse_ranks(content))
         self.split = regex.compile(pattern).findall
-        self.table = UnitTable(self._units, self._whole)
+        self.table = UnitTable(self._units, self._whole, 600_000)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         return [x.tobytes() for x in self.replay.encode([p.encode("utf-8", "surrogatepass") for p in pieces])]

@@ -94,7 +94,7 @@ class UnitTable:
     starts anew, so memory stays bounded.
     """
 
-    def __init__(self, encode_units: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 600_000, limit_chars: int = 24 << 20):
+    def __init__(self, encode_units: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 1_200_000, limit_chars: int = 48 << 20):
         self.encode_units, self.whole, self.limit, self.limit_chars = encode_units, whole, limit, limit_chars
         self.first: dict[str, bytes | None] = {}
         self.rest: dict[str, bytes | None] = {}

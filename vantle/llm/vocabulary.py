@@ -11,6 +11,7 @@ from __future__ import annotations
 import gc
 import json
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -21,8 +22,24 @@ from pyspark.sql import functions as F
 from .common import LooseUnitTable, UnitTable, file_bytes, text_batches, texts_of
 
 
+#: Letters of the Latin-1 range with at most one sign after them: one word piece and one sign piece
+#: for any pattern that parts letters from signs, and unchanged by NFC.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)").fullmatch
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for letters from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class LibraryEncoder:
-    """Texts to little-endian 32-bit ids by a tokenizer file's content."""
+    """Texts to little-endian 32-bit ids by a tokenizer file's content.
+
+    Plain units go to the library's BPE model directly, which is what its pipeline
+    does with them in the end; all others through the whole pipeline.
+    """
 
     def __init__(self, content: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -31,19 +48,51 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.tokenizer.encode_special_tokens = True
         said = json.loads(content)
-        pre = said.get("pre_tokenizer") or {}
+        pre, model = said.get("pre_tokenizer") or {}, said["model"]
         steps = pre.get("pretokenizers", [pre])
-        if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not said.get("normalizer"):
+        normal = said.get("normalizer") or {}
+        self.lower = False
+        self.lead: dict[str, str] | None = None
+        self.model = self.tokenizer.model.tokenize
+        self.letters = byte_letters()
+        whole_words = model.get("type") == "BPE" and not model.get("dropout") and not said.get("post_processor")
+        if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not normal:
             self.table = UnitTable(self._units, self._whole)
+            if whole_words:
+                self.lead = {" ": self.letters[32], "\n": ""}
         elif any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert") for s in steps):
             self.table = LooseUnitTable(self._units, self._whole)
+            kinds = [n.get("type") for n in normal.get("normalizers", [])]
+            if whole_words and [s.get("type") for s in steps] == ["Split", "ByteLevel"] and kinds == ["NFC", "Replace", "Lowercase"] and "[\\p{L}]+" in steps[0]["pattern"]["Regex"]:
+                self.lead, self.lower = {}, True
         else:
             self.table = None
+        self.newline = self._whole("\n")
+
+    def _plain(self, unit: str) -> bytes | None:
+        """A plain unit's ids, None for any other."""
+        lead = unit[:1] if unit[:1] in self.lead else ""
+        found = PLAIN(unit, len(lead))
+        if not found:
+            return None
+        word, sign = found.groups()
+        if self.lower:
+            word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model(self.lead[lead] + word if lead else word)]
+        if sign:
+            ids += [t.id for t in self.model(sign)]
+        got = array("I", ids).tobytes()
+        return self.newline + got if lead == "\n" else got
 
     def _units(self, units: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(units), 4096):
-            out += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(units[i : i + 4096], add_special_tokens=False)]
+        out: list[bytes | None] = [None] * len(units) if self.lead is None else list(map(self._plain, units))
+        rest = [k for k, x in enumerate(out) if x is None]
+        for i in range(0, len(rest), 4096):
+            part = rest[i : i + 4096]
+            for k, e in zip(part, self.tokenizer.encode_batch_fast([units[k] for k in part], add_special_tokens=False), strict=True):
+                out[k] = array("I", e.ids).tobytes()
         return out
 
     def _whole(self, text: str) -> bytes:
