@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import UnitTable, bound_arrow, file_bytes, text_batches, texts_of
+from .common import UnitTable, bound_arrow, file_bytes, text_arrays, texts_of
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
@@ -239,7 +239,7 @@ class PieceEncoder:
         of = dict(zip(distinct, self._pieces(distinct), strict=True))
         return b"".join([of[p] for p in pieces])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         return self.table.encode(texts)
 
 
@@ -262,7 +262,7 @@ def encode(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value, pattern)
-        for part, texts in text_batches(batches):
+        for part, texts in text_arrays(batches):
             got = encoder.encode(texts)
             offsets = np.zeros(len(got) + 1, "<i4")
             np.cumsum([len(x) // 4 for x in got], out=offsets[1:])

@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes that one Arrow batch may hold on its way to a Python worker.
-ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
+ARROW_ROWS, ARROW_BYTES = 4096, 8 << 20
 
 
 def bound_arrow(spark: SparkSession) -> None:
@@ -57,6 +59,16 @@ def text_batches(batches: Iterable[pa.RecordBatch], column: str = "text", most:
             yield part, part.column(part.schema.get_field_index(column)).to_pylist()
 
 
+def text_arrays(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Like text_batches, with the texts left as an Arrow array."""
+    for batch in batches:
+        texts = batch.column(batch.schema.get_field_index(column))
+        step = max(1, int(batch.num_rows * most // max(texts.nbytes, 1)))
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            yield part, part.column(part.schema.get_field_index(column))
+
+
 def keep_rows(df: DataFrame, decide: Callable[[list[str]], list[bool]], text_col: str = "text") -> DataFrame:
     """The rows whose text ``decide`` keeps, with all their columns; null text counts as empty.
 
@@ -88,56 +100,93 @@ class UnitTable:
     as for the whole text. Texts with any other white space layout (double blanks,
     tabs, ...) are left to ``whole``.
 
-    encode_units: list of unit strings -> list of bytes
+    A batch is cut in units and its distinct units are found by Arrow's kernels; only
+    the distinct ones become Python strings, and the texts' ids are gathered by arrays.
+
+    encode_units: list of unit strings -> list of bytes, little-endian 32-bit ids
     whole: text -> bytes
     limit, limit_chars: units and their characters kept; beyond either the table
     starts anew, so memory stays bounded.
     """
 
+    #: what a line feed becomes before texts are cut at blanks
+    LINE = " \n"
+
     def __init__(self, encode_units: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 1_200_000, limit_chars: int = 48 << 20):
         self.encode_units, self.whole, self.limit, self.limit_chars = encode_units, whole, limit, limit_chars
-        self.first: dict[str, bytes | None] = {}
-        self.rest: dict[str, bytes | None] = {}
+        #: encoding of each unit, 0 for one that only the whole text can settle
+        self.first: dict[str, bytes | int] = {}
+        self.rest: dict[str, bytes | int] = {}
         self.chars = 0
 
-    def _learn(self, table: dict, units: set[str], blank: str) -> None:
-        new = units.difference(table)
+    def _learn(self, table: dict, new: set[str], blank: str) -> None:
         bare = {u: u[1:] if blank and u[:1] == "\n" else u for u in new}
         odd = [u for u, x in bare.items() if x.split() != [x]]
         for u in odd:
-            table[u] = None
+            table[u] = 0
         plain = list(new.difference(odd))
         table.update(zip(plain, self.encode_units([u if u[0] == "\n" else blank + u for u in plain]), strict=True))
         self.chars += sum(map(len, new))
 
-    def _trim(self) -> None:
-        if len(self.first) + len(self.rest) > self.limit or self.chars > self.limit_chars:
-            self.first, self.rest, self.chars = {}, {}, 0
+    def _learn_rest(self, new: set[str]) -> None:
+        self._learn(self.rest, new, " ")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _heads(self, words: list[str], index: np.ndarray, starts: np.ndarray) -> list[bytes | int]:
+        """Encodings of the texts' first units, which have no blank before them; their places in ``index`` point behind ``words``."""
+        heads = [words[k] for k in index[starts].tolist()]
+        new = set(heads).difference(self.first)
+        if new:
+            self._learn(self.first, new, "")
+        index[starts] = len(words) + np.arange(len(starts))
+        return [self.first[h] for h in heads]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Each text's encoding."""
-        self._trim()
-        parts = [text.replace("\n", " \n").split(" ") for text in texts]
-        self._learn(self.first, {words[0] for words in parts}, "")
-        self._learn(self.rest, set().union(*(words[1:] for words in parts)), " ")
-        rest = self.rest.__getitem__
-        out = []
-        for text, words in zip(texts, parts, strict=True):
-            try:
-                out.append(b"".join([self.first[words[0]], *map(rest, words[1:])]))
-            except TypeError:
-                out.append(self.whole(text))
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        if not len(texts):
+            return []
+        if len(self.first) + len(self.rest) > self.limit or self.chars > self.limit_chars:
+            self.first, self.rest, self.chars = {}, {}, 0
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", self.LINE), " ")
+        ends = np.cumsum(pc.list_value_length(parts).to_numpy())
+        starts = np.concatenate([[0], ends[:-1]])
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        index = coded.indices.to_numpy().astype(np.int32)
+        values = list(map(self.rest.get, words))
+        unknown = [k for k, v in enumerate(values) if v is None]
+        if unknown:
+            self._learn_rest({words[k] for k in unknown})
+            for k in unknown:
+                values[k] = self.rest[words[k]]
+        values += self._heads(words, index, starts)
+        odd = np.array([v == 0 for v in values])
+        values = [v or b"" for v in values]
+        size = np.fromiter(map(len, values), np.int32, len(values)) // 4
+        at = np.cumsum(size, dtype=np.int32) - size
+        ids = np.frombuffer(b"".join(values), "<u4")
+        each = size[index]
+        reach = np.cumsum(each, dtype=np.int32)
+        total = int(reach[-1])
+        raw = ids[np.repeat(at[index] - (reach - each), each) + np.arange(total, dtype=np.int32)].tobytes() if total else b""
+        stops = (4 * reach[ends - 1].astype(np.int64)).tolist()
+        out = [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+        if odd.any():
+            for k in np.flatnonzero(np.logical_or.reduceat(odd[index], starts)).tolist():
+                out[k] = self.whole(texts[k].as_py())
         return out
 
 
 class LooseUnitTable(UnitTable):
     """For encoders that drop white space: every blank and line feed is a border, whatever surrounds it."""
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        self._trim()
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list(set().union(*parts).difference(self.rest))
-        self.rest.update(zip(new, self.encode_units(new), strict=True))
-        self.chars += sum(map(len, new))
-        get = self.rest.__getitem__
-        return [b"".join(map(get, words)) for words in parts]
+    LINE = " "
+
+    def _learn_rest(self, new: set[str]) -> None:
+        units = list(new)
+        self.rest.update(zip(units, self.encode_units(units), strict=True))
+        self.chars += sum(map(len, units))
+
+    def _heads(self, words: list[str], index: np.ndarray, starts: np.ndarray) -> list[bytes | int]:
+        return []

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import file_bytes, text_batches, texts_of, written
+from .common import file_bytes, text_arrays, texts_of, written
 from .vocabulary import encoder_of
 
 #: Open pieces that one task packs at a time.
@@ -79,7 +79,7 @@ def cut_pieces(df: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id:
 
         encoder = encoder_of(content.value)
         row = TaskContext.get().partitionId() << 33
-        for part, texts in text_batches(batches):
+        for part, texts in text_arrays(batches):
             at, piece, start, length, rows, ids = [], [], [], [], [], []
             for k, got in enumerate(encoder.encode(texts)):
                 got += end

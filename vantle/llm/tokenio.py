@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_arrow, file_bytes, shared_folder, text_batches
+from .common import bound_arrow, file_bytes, shared_folder, text_arrays
 from .vocabulary import encoder_of
 
 MAGIC = b"VTLREP01"
@@ -41,7 +41,7 @@ SHARD_IDS = 2 << 20
 #: a pair needs so many replacements in a round to become a rule
 LEAST = 8
 #: rounds end when one shortens the sequence by less than this share
-GAIN = 0.02
+GAIN = 0.05
 
 SHARDS = "shard int, block int, n_ids long, n_docs long, payload binary"
 
@@ -53,46 +53,39 @@ def compress(ids: np.ndarray, least: int = LEAST, gain: float = GAIN) -> tuple[n
     lefts: list[np.ndarray] = []
     rights: list[np.ndarray] = []
     free, turn = first_free, 0
-    bits = 18
+    bits = 17
     while len(current) > 2 * least:
         turn += 1
-        a, b = current[:-1], current[1:]
-        # each pair's bucket; buckets stand for their last pair, others in it have their turn in a later round
-        salt = np.uint32((0x9E3779B1 * (2 * turn + 1)) & 0xFFFFFFFF)
-        bucket = ((a * np.uint32(0x85EBCA6B) + b * salt) ^ (b >> np.uint32(7))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - bits)
-        bucket = bucket.astype(np.int64)
-        count = np.bincount(bucket, minlength=1 << bits)
-        at = np.flatnonzero(count[bucket] >= least)
+        # each pair's bucket; a bucket stands for its last pair, others in it have their turn in a later round
+        pair = current[:-1].astype(np.uint64) << np.uint64(32) | current[1:]
+        salt = np.uint64((0x9E3779B97F4A7C15 * (2 * turn + 1)) & 0xFFFFFFFFFFFFFFFF)
+        bucket = (pair * salt >> np.uint64(64 - bits)).view(np.int64)
+        stands = np.zeros(1 << bits, np.uint64)
+        stands[bucket] = pair
+        same = stands[bucket] == pair
+        count = np.bincount(bucket[same], minlength=1 << bits).astype(np.int32)
+        count[count < least] = 0
+        weight = np.zeros(len(pair) + 2, np.int32)
+        np.multiply(count[bucket], same, out=weight[1:-1])
+        middle = weight[1:-1]
+        at = np.flatnonzero((middle > weight[:-2]) & (middle >= weight[2:]))
+        which = bucket[at]
+        often = np.bincount(which, minlength=1 << bits) >= least
+        good = often[which]
+        at, which = at[good], which[good]
         if not len(at):
             break
-        bucket = bucket[at]
-        stands = np.zeros(1 << bits, np.int64)
-        stands[bucket] = at
-        model = stands[bucket]
-        same = (a[at] == a[model]) & (b[at] == b[model])
-        at, bucket = at[same], bucket[same]
-        count = np.bincount(bucket, minlength=1 << bits)
-        weight = np.zeros(len(current) + 1, np.int64)
-        weight[at + 1] = count[bucket]
-        wins = (weight[at + 1] > weight[at]) & (weight[at + 1] >= np.append(weight, 0)[at + 2])
-        at, bucket = at[wins], bucket[wins]
-        count = np.bincount(bucket, minlength=1 << bits)
-        good = count[bucket] >= least
-        at, bucket = at[good], bucket[good]
-        if not len(at):
-            break
-        rules = np.flatnonzero(count >= least)
+        rules = np.flatnonzero(often)
         number = np.zeros(1 << bits, np.uint32)
         number[rules] = np.arange(free, free + len(rules), dtype=np.uint32)
-        lefts.append(a[stands[rules]].copy())
-        rights.append(b[stands[rules]].copy())
+        lefts.append((stands[rules] >> np.uint64(32)).astype(np.uint32))
+        rights.append(stands[rules].astype(np.uint32))
         free += len(rules)
         shorter = current.copy()
-        shorter[at] = number[bucket]
+        shorter[at] = number[which]
         keep = np.ones(len(current), bool)
         keep[at + 1] = False
-        saved = len(at) - 2 * len(rules)
-        before = len(current)
+        saved, before = len(at) - 2 * len(rules), len(current)
         current = shorter[keep]
         if saved < gain * before:
             break
@@ -165,8 +158,16 @@ class Shard:
         self.ends = np.cumsum(self.n_tokens, dtype=np.int64)
 
     def ids(self) -> np.ndarray:
-        """All ids."""
-        return expand(self.symbols, self.left, self.right, self.first_free)
+        """All ids: the rules are opened once, and every symbol's ids are gathered from them."""
+        if not len(self.left):
+            return self.symbols.astype(np.uint32)
+        rules = np.arange(self.first_free, self.first_free + len(self.left), dtype=np.uint32)
+        ids = np.concatenate([np.arange(self.first_free, dtype=np.uint32), expand(rules, self.left, self.right, self.first_free)])
+        size = np.concatenate([np.ones(self.first_free, np.int32), self.size.astype(np.int32)])
+        at = np.cumsum(size, dtype=np.int32) - size
+        each = size[self.symbols]
+        reach = np.cumsum(each, dtype=np.int32)
+        return ids[np.repeat(at[self.symbols] - (reach - each), each) + np.arange(self.n_ids, dtype=np.int32)]
 
     def document(self, k: int) -> np.ndarray:
         """ids of the k-th document: only the symbols that reach into it are opened."""
@@ -200,7 +201,7 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id
             data = payload(np.frombuffer(b"".join(held), "<u4"), docs)
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([total], pa.int64()), pa.array([len(docs)], pa.int64()), pa.array([data], pa.binary())], names=["shard", "block", "n_ids", "n_docs", "payload"])
 
-        for part, texts in text_batches(batches):
+        for part, texts in text_arrays(batches):
             for doc_id, got in zip(part.column(0).to_pylist(), encoder.encode(texts), strict=True):
                 n = len(got) // 4 + 1
                 if docs and total + n > shard_ids:

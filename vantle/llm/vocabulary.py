@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LooseUnitTable, UnitTable, file_bytes, text_batches, texts_of
+from .common import LooseUnitTable, UnitTable, file_bytes, text_arrays, texts_of
 
 
 #: Letters of the Latin-1 range with at most one sign after them: one word piece and one sign piece
@@ -55,6 +55,7 @@ class LibraryEncoder:
         self.lead: dict[str, str] | None = None
         self.model = self.tokenizer.model.tokenize
         self.letters = byte_letters()
+        self.signs: dict[str, bytes] = {}
         whole_words = model.get("type") == "BPE" and not model.get("dropout") and not said.get("post_processor")
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not normal:
             self.table = UnitTable(self._units, self._whole)
@@ -69,8 +70,8 @@ class LibraryEncoder:
             self.table = None
         self.newline = self._whole("\n")
 
-    def _plain(self, unit: str) -> bytes | None:
-        """A plain unit's ids, None for any other."""
+    def _plain(self, unit: str, memo: dict[str, bytes]) -> bytes | None:
+        """A plain unit's ids, None for any other. A word met before, with another sign or none, is not encoded again."""
         lead = unit[:1] if unit[:1] in self.lead else ""
         found = PLAIN(unit, len(lead))
         if not found:
@@ -78,16 +79,23 @@ class LibraryEncoder:
         word, sign = found.groups()
         if self.lower:
             word = word.lower()
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model(self.lead[lead] + word if lead else word)]
-        if sign:
-            ids += [t.id for t in self.model(sign)]
-        got = array("I", ids).tobytes()
-        return self.newline + got if lead == "\n" else got
+        key = lead + word
+        got = memo.get(key) or (self.table.rest.get(word) if lead == " " or self.lower else None)
+        if not got:
+            spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            got = array("I", [t.id for t in self.model(self.lead[lead] + spelt if lead else spelt)]).tobytes()
+            if lead == "\n":
+                got = self.newline + got
+            memo[key] = got
+        if not sign:
+            return got
+        if sign not in self.signs:
+            self.signs[sign] = array("I", [t.id for t in self.model(sign)]).tobytes()
+        return got + self.signs[sign]
 
     def _units(self, units: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(units) if self.lead is None else list(map(self._plain, units))
+        memo: dict[str, bytes] = {}
+        out: list[bytes | None] = [None] * len(units) if self.lead is None else [self._plain(u, memo) for u in units]
         rest = [k for k, x in enumerate(out) if x is None]
         for i in range(0, len(rest), 4096):
             part = rest[i : i + 4096]
@@ -98,8 +106,10 @@ class LibraryEncoder:
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return self.table.encode(texts) if self.table else self._units(texts)
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        if self.table:
+            return self.table.encode(texts)
+        return self._units(texts.to_pylist() if isinstance(texts, pa.Array) else texts)
 
 
 _ENCODERS: dict[int, LibraryEncoder] = {}
@@ -121,7 +131,7 @@ def token_counts(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(content.value)
-        for part, texts in text_batches(batches):
+        for part, texts in text_arrays(batches):
             counts = [len(x) // 4 for x in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64())], names=["doc_id", "n_tokens"])
 
