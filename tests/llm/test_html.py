@@ -21,6 +21,11 @@ def test_comments_inside_article_go():
     assert html.main_text(f"<article><p>{LONG}</p><section class='comments'><p>{LONG}</p></section><div hidden>x</div></article>") == LONG
 
 
+def test_wrappers_and_reader_articles():
+    assert html.main_text(f"<div class='layout has-sidebar'><main><h1>T</h1><p>{LONG}</p></main><div class='sidebar'>{LONG}</div></div><article class='comment'><p>{LONG}</p></article>") == f"T\n{LONG}"
+    assert html.main_text(f"<article><p>{LONG}</p><div id=comments><article><p>{LONG}</p></article></div></article>") == LONG
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [("", ""), ("plain", "plain"), ("<p>a</p><p>b &lt;i&gt; &#233;&nbsp;c</p>", "a\nb <i> é c"), ("<article><p>x", "x"), ("<nav>menu<article><p>x</p></article>", "x"), ("<p>a < b</p>", "a < b"), ("<script>x", ""), ("<!-- open", ""), ('<a href="x>y">link</a>', "")],

@@ -41,24 +41,29 @@ FURNITURE_WORDS = frozenset(
     " footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies reply respond"
     " search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+READER_WORDS = frozenset("comment comments commentlist disqus related replies reply respond".split())
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][\w:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^>]*+)>""", re.S)
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 MAIN_ROLE = re.compile(r"""\brole\s*=\s*["']?(?:main|article)\b""", re.I)
 HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
-def _furniture(name: str, attributes: str, in_main: bool) -> bool:
+def _furniture(name: str, attributes: str, in_main: bool) -> str:
+    """Why an element is furniture: ``tag``, ``words`` or, for what readers wrote, ``readers``; empty if it isn't."""
     if name in FURNITURE or name == "header" and not in_main:
-        return True
-    if name in ("html", "body", "main", "article") or not attributes:
-        return False
-    if HIDDEN.search(attributes):
-        return True
+        return "tag"
+    if name in ("html", "body", "main") or not attributes:
+        return ""
+    words: set[str] = set()
     for found in MARKS.findall(attributes):
-        words = set(re.split(r"[^a-z]+", "".join(found).lower()))
-        if words & FURNITURE_WORDS or not in_main and "header" in words:
-            return True
-    return False
+        words.update(re.split(r"[^a-z]+", "".join(found).lower()))
+    if words & READER_WORDS:
+        return "readers"
+    if name == "article":
+        return ""
+    if words & FURNITURE_WORDS or HIDDEN.search(attributes) or not in_main and "header" in words:
+        return "words"
+    return ""
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
@@ -66,7 +71,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     lines: list[tuple[str, int, bool]] = []
     text: list[str] = []
     linked = 0
-    skip_name, skip_depth = "", 0
+    skip_name, skip_depth, skip_why = "", 0, ""
     main: list[str] = []
     link = 0
     at = 0
@@ -105,14 +110,15 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             elif name in ("script", "style"):
                 at = len(page)
             continue
-        if name in ("article", "main") or not closing and MAIN_ROLE.search(attributes):
-            if not closing and (not skip_name or skip_name not in ("article", "main")):
-                end_line()
-                if skip_name and not _closed_later(page, at, skip_name):
-                    skip_name, skip_depth = "", 0  # furniture that was never closed ends where the article begins
-                if not skip_name:
-                    main.append(name)
-                    continue
+        why = "" if closing or name in VOID or attributes.endswith("/") else _furniture(name, attributes, bool(main))
+        if not closing and not why and (name in ("article", "main") or MAIN_ROLE.search(attributes)):
+            end_line()
+            # furniture that was never closed, or is a wrapper known by its words only, ends where the article begins
+            if skip_name and (skip_why == "words" or not _closed_later(page, at, skip_name)):
+                skip_name, skip_depth = "", 0
+            if not skip_name:
+                main.append(name)
+                continue
         if skip_name:
             if name == skip_name and name not in VOID:
                 skip_depth += -1 if closing else 1
@@ -130,9 +136,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 link = 0
         elif name in VOID or attributes.endswith("/"):
             continue
-        elif _furniture(name, attributes, bool(main)):
+        elif why:
             end_line()
-            skip_name, skip_depth = name, 1
+            skip_name, skip_depth, skip_why = name, 1, why
         elif name == "a":
             link = 1
     end_line()

@@ -121,7 +121,7 @@ m AS (
 ),
 f AS (
   SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
-    + 4 * (100 * n_symbols > 25 * n_words)::INT + 8 * (100 * n_dup_lines > 30 * n_lines)::INT
+    + 4 * (100 * n_symbols > 25 * n_words)::INT + 8 * (n_dup_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines)::INT
     + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 16 * n_words)::INT
     + 64 * (100 * n_capitals > 40 * word_chars)::INT)::BIGINT AS failures
   FROM m

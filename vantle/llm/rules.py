@@ -37,7 +37,8 @@ RULES = (
     Rule("few_words", 0, "n_words < 50"),
     Rule("repeated_windows", 1, "100 * n_repeat_words > 50 * n_words"),
     Rule("symbols", 2, "100 * n_symbols > 25 * n_words"),
-    Rule("duplicate_lines", 3, "100 * n_dup_lines > 30 * n_lines"),
+    # a heading or a licence line that comes twice is no boilerplate: four repeats at least
+    Rule("duplicate_lines", 3, "n_dup_lines >= 4 and 100 * n_dup_lines > 30 * n_lines"),
     Rule("short_words", 4, "word_chars < 2 * n_words"),
     Rule("long_words", 5, "word_chars > 16 * n_words"),
     Rule("capitals", 6, "100 * n_capitals > 40 * word_chars"),
