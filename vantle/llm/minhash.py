@@ -12,12 +12,12 @@
 3. Candidate links form clusters. The members' texts are brought together in chunks of
    bounded size and compared exactly, by an inverted index over full sets, until the
    chunk is one group or every pair of groups is compared. Large clusters have several
-   chunks, each with the cluster's first documents; candidate links between groups of
-   different chunks are then compared one by one.
+   chunks, each with the cluster's first documents; whatever is not in the cluster's
+   largest group then visits its other chunks, so no pair of groups stays uncompared.
 4. Confirmed links give connected components.
 
-Nothing is capped: crowded regions are cut deeper, large clusters are chunked and
-their remaining candidate links confirmed singly. With 16 trees and prefix 4, two
+Nothing is capped: crowded regions are cut deeper and large clusters are chunked, and
+what such cuts keep apart is compared afterwards. With 16 trees and prefix 4, two
 documents at similarity 0.8 miss each other in every tree with probability 0.0002,
 less above.
 
@@ -116,23 +116,23 @@ def _region(keys: list[bytes], ids: np.ndarray, sketches: np.ndarray, near: int,
     if len(ids) <= REGION:
         yield from _stars(ids, sketches, near)
         return
+    leads: list[int] = []
     if depth < DEPTH:
         end = 1 + 4 * (depth + 1)
         edges = [0, *(i for i in range(1, len(keys)) if keys[i][:end] != keys[i - 1][:end]), len(keys)]
-        for i, j in zip(edges[:-1], edges[1:], strict=True):
-            for lead, close in _region(keys[i:j], ids[i:j], sketches[i:j], near, depth + 1):
-                yield lead + i, close + i
-        return
-    # one signature prefix throughout: the pieces' first documents tie them together
-    leads: list[int] = []
-    for i in range(0, len(ids), REGION):
-        for lead, close in _stars(ids[i : i + REGION], sketches[i : i + REGION], near):
+    else:
+        edges = [*range(0, len(keys), REGION), len(keys)]
+    for i, j in zip(edges[:-1], edges[1:], strict=True):
+        for lead, close in _region(keys[i:j], ids[i:j], sketches[i:j], near, depth + 1):
             leads.append(lead + i)
             yield lead + i, close + i
-    first = np.array(leads)
-    if len(first) < len(ids):
-        for lead, close in _region([keys[k] for k in leads], ids[first], sketches[first], near, DEPTH):
-            yield int(first[lead]), first[close]
+    # the pieces' first documents tie together what the cuts kept apart
+    first = np.array(list(dict.fromkeys(leads)))
+    for i in range(0, len(first), REGION):
+        part = first[i : i + REGION]
+        for lead, close in _stars(ids[part], sketches[part], near):
+            if len(close):
+                yield int(part[lead]), part[close]
 
 
 def candidates(classes: DataFrame, threshold: float) -> DataFrame:
@@ -253,32 +253,68 @@ def _links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[i
                     group[group == group[j]] = group[k]
 
 
+def _visit(visitors: list[tuple[int, int, np.ndarray]], ids: list[int], groups: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Confirmed links of visitors (id, group, set) with the residents of a chunk: one for each other group that a visitor is linked with."""
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    owner, flat = owner[order], flat[order]
+    of = np.array(groups)
+    out = []
+    for i, group, s in visitors:
+        a, b = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
+        span = b - a
+        common = np.bincount(owner[np.repeat(a - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))], minlength=len(sets))
+        linked = np.flatnonzero((100 * common >= percent * (size + len(s) - common)) & (of != group))
+        out += [(i, ids[k]) for k in linked[np.unique(of[linked], return_index=True)[1]].tolist()]
+    return out
+
+
 def _compare(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): confirmed links within each value of ``chunk``; rows are (chunk, id, text)."""
+    """(a, b): confirmed links within each value of ``chunk``; rows are (chunk, id, text, visitor, grp).
+
+    Without visitors all of a chunk is compared; with visitors they are compared with the others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk: str | None = None
-        held: dict[int, np.ndarray] = {}
+        held: dict[int, tuple[int, np.ndarray]] = {}
+        visitors: list[tuple[int, int, np.ndarray]] = []
         found: list[tuple[int, int]] = []
 
-        def rows_of(links: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
+        def finish() -> None:
+            ids, groups, sets = list(held), [g for g, _ in held.values()], [s for _, s in held.values()]
+            if visitors and held:
+                found.extend(_visit(visitors, ids, groups, sets, percent))
+            elif not visitors and len(held) > 1:
+                found.extend(_links(ids, sets, percent))
+            visitors.clear()
+
+        def flush() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+            found.clear()
+            return batch
 
         for part, texts in text_batches(batches):
-            for c, i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, strict=True):
+            for c, i, text, visitor, group in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True):
                 if c != chunk:
-                    if len(held) > 1:
-                        found += _links(list(held), list(held.values()), percent)
+                    finish()
                     chunk, held = c, {}
-                held[i] = shingle_set(text, size)
+                if visitor:
+                    visitors.append((i, group, shingle_set(text, size)))
+                    if len(visitors) == CHUNK and held:  # visitors come last, and in any number
+                        found += _visit(visitors, list(held), [g for g, _ in held.values()], [s for _, s in held.values()], percent)
+                        visitors.clear()
+                        visitors.append((i, group, np.empty(0, np.uint64)))
+                else:
+                    held[i] = group, shingle_set(text, size)
             if len(found) > 10_000:
-                yield rows_of(found)
-                found = []
-        if len(held) > 1:
-            found += _links(list(held), list(held.values()), percent)
-        yield rows_of(found)
+                yield flush()
+        finish()
+        yield flush()
 
-    return rows.select("chunk", "id", "text").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, "a long, b long")
+    return rows.select("chunk", "id", "text", "visitor", "grp").repartition("chunk").sortWithinPartitions("chunk", "visitor").mapInArrow(run, "a long, b long")
 
 
 def confirmed(docs: DataFrame, links: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -291,25 +327,26 @@ def confirmed(docs: DataFrame, links: DataFrame, size: int, percent: int, id_col
     own = F.pmod(F.xxhash64("id"), F.col("chunks"))
     stored = written(texts.select("id", "component", "chunks", own.alias("own"), "text"), "members")
     # the cluster's first documents, by degree in the candidate graph, go to each of its chunks
-    name = F.concat_ws(":", "component", "own")
-    plain = stored.select(name.alias("chunk"), "id", "text")
+    as_rows = lambda df, chunk, visitor, grp: df.select(F.concat_ws(":", "component", chunk).alias("chunk"), "id", "text", F.lit(visitor).alias("visitor"), grp.alias("grp"))
+    none = F.lit(0).cast("long")
+    plain = as_rows(stored, "own", False, none)
     many = stored.filter("chunks > 1")
     if many.isEmpty():
         return _compare(plain, size, percent)
     degree = links.groupBy("a").agg(F.count("*").alias("degree")).withColumnRenamed("a", "id")
-    ranked = _anchors(many, degree)
-    copies = ranked.join(stored.select("id", "text"), "id").select(F.concat_ws(":", "component", "copy").alias("chunk"), "id", "text")
+    copies = as_rows(_anchors(many, degree).join(stored.select("id", "text"), "id"), "copy", False, none)
     first = written(_compare(plain.unionByName(copies), size, percent), "links")
-    # candidate links between groups that chunks kept apart
-    groups = components(first)
-    label = lambda c: groups.select(F.col("id").alias(c), F.col("component").alias(f"g{c}"))
-    place = many.select("id", "component", "own")
-    open_ = links.join(place.select(F.col("id").alias("a"), F.col("own").alias("oa")), "a").join(place.select(F.col("id").alias("b"), F.col("own").alias("ob")), "b").filter("oa <> ob")
-    open_ = open_.join(label("a"), "a", "left").join(label("b"), "b", "left").filter(F.coalesce("ga", "a") != F.coalesce("gb", "b"))
-    open_ = open_.select("a", "b", F.concat_ws("-", "a", "b").alias("chunk"))
-    ends = open_.select("chunk", F.explode(F.array("a", "b")).alias("id"))
-    single = _compare(ends.join(stored.select("id", "text"), "id").select("chunk", "id", "text"), size, percent)
-    return first.unionByName(single)
+    # every document outside its large cluster's largest group visits the cluster's other chunks,
+    # so each pair of groups that chunks kept apart is compared in full
+    groups = components(first).select("id", F.col("component").alias("g"))
+    marked = written(many.join(groups, "id", "left").withColumn("g", F.coalesce("g", "id")), "groups")
+    sizes = marked.groupBy("component", "g").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("component").agg(F.max_by("g", F.struct("n", "g")).alias("largest"))
+    outside = marked.join(largest, "component").filter("g <> largest")
+    visits = outside.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))).filter("copy <> own")
+    hosts = marked.join(outside.select("component").distinct(), "component", "left_semi")
+    met = _compare(as_rows(hosts, "own", False, F.col("g")).unionByName(as_rows(visits, "copy", True, F.col("g"))), size, percent)
+    return first.unionByName(met)
 
 
 def _anchors(many: DataFrame, degree: DataFrame) -> DataFrame:
