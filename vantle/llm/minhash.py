@@ -323,7 +323,8 @@ def confirmed(docs: DataFrame, links: DataFrame, size: int, percent: int, id_col
     sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
     members = clusters.join(sizes, "component").withColumn("chunks", F.ceil(F.col("n") / CHUNK))
     texts = texts_of(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
-    texts = texts.join(members, texts["doc_id"] == members["id"]).dropDuplicates(["id"])
+    # the same way of joining at every size: members grow with the documents
+    texts = texts.join(members.hint("merge"), texts["doc_id"] == members["id"]).dropDuplicates(["id"])
     own = F.pmod(F.xxhash64("id"), F.col("chunks"))
     stored = written(texts.select("id", "component", "chunks", own.alias("own"), "text"), "members")
     # the cluster's first documents, by degree in the candidate graph, go to each of its chunks
