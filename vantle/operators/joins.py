@@ -14,32 +14,47 @@ from pyspark.sql import functions as F
 RANK = "__rank"
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    return df.withColumn(RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def _side(df: DataFrame, name: str, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """Keys, the other columns as one struct, and the order columns, of one side."""
+    sort = [F.col(c) if isinstance(c, str) else c for c in order]
+    rest = F.struct(F.lit(1).alias("__"), *[F.col(c) for c in df.columns if c not in keys])
+    return df.select(*keys, F.lit(name).alias("__side"), rest.alias(f"__{name}"), *[c.alias(f"__{name}{i}") for i, c in enumerate(sort)])
 
 
-def pairing_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence[str | Column], right_order: Sequence[str | Column], how: str = "full_outer", overlap: str = "right", marker: str | None = None) -> DataFrame:
+def pairing_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence[str | Column], right_order: Sequence[str | Column], how: str = "full_outer", overlap: str = "right", marker: str | None = None, cluster: Sequence[str] | None = None) -> DataFrame:
     """Join in which the k-th row of a key on the left meets the k-th on the right; the rest stay alone.
 
     overlap: columns on both sides that are no keys. ``right``: the right side's value,
     so missing on a left-only row; ``left``: the left side's; ``coalesce``: left, else
     right; ``error``: raise. marker: name of a column with both / left_only / right_only.
     Rows with a NULL key pair with rows of the same NULL key.
+
+    Both sides are stacked and dealt once by the ``cluster`` keys (all keys by default);
+    ranks within a side and the pairing of equal ranks both work on that one exchange,
+    and so do later windows over the cluster keys.
     """
     shared = [c for c in left.columns if c in right.columns and c not in keys]
     if overlap == "error" and shared:
         raise ValueError(f"columns on both sides: {shared}")
     if overlap not in ("right", "left", "coalesce", "error"):
         raise ValueError(f"unknown overlap policy {overlap!r}")
-    a, b = _ranked(left, keys, left_order).withColumn("__l", F.lit(True)).alias("a"), _ranked(right, keys, right_order).withColumn("__r", F.lit(True)).alias("b")
-    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in (*keys, RANK)]
-    joined = a.join(b, on, how)
-    pick = {"right": lambda c: F.col(f"b.{c}"), "left": lambda c: F.col(f"a.{c}"), "coalesce": lambda c: F.coalesce(f"a.{c}", f"b.{c}")}.get(overlap)
-    out = [F.when(F.col("a.__l"), F.col(f"a.{k}")).otherwise(F.col(f"b.{k}")).alias(k) for k in keys]
-    out += [(pick(c) if c in shared else F.col(f"a.{c}")).alias(c) for c in left.columns if c not in keys]
-    out += [F.col(f"b.{c}").alias(c) for c in right.columns if c not in keys and c not in shared]
+    a, b = _side(left, "l", keys, left_order), _side(right, "r", keys, right_order)
+    stacked = a.unionByName(b, allowMissingColumns=True)
+    order = [c for c in stacked.columns if c.startswith(("__l", "__r")) and c not in ("__l", "__r")]
+    ranked = stacked.repartition(*(cluster or keys)).withColumn(RANK, F.row_number().over(Window.partitionBy(*keys, "__side").orderBy(*order)))
+    joined = ranked.groupBy(*keys, RANK).agg(F.first("__l", True).alias("__l"), F.first("__r", True).alias("__r"))
+    in_left, in_right = F.col("__l").isNotNull(), F.col("__r").isNotNull()
+    wanted = {"full_outer": None, "outer": None, "inner": in_left & in_right, "left": in_left, "right": in_right}
+    if how not in wanted:
+        raise ValueError(f"unknown kind of join {how!r}")
+    if wanted[how] is not None:
+        joined = joined.filter(wanted[how])
+    pick = {"right": lambda c: F.col(f"__r.{c}"), "left": lambda c: F.col(f"__l.{c}"), "coalesce": lambda c: F.coalesce(f"__l.{c}", f"__r.{c}")}.get(overlap)
+    out = [F.col(k) for k in keys]
+    out += [(pick(c) if c in shared else F.col(f"__l.{c}")).alias(c) for c in left.columns if c not in keys]
+    out += [F.col(f"__r.{c}").alias(c) for c in right.columns if c not in keys and c not in shared]
     if marker:
-        out.append(F.when(F.col("a.__l") & F.col("b.__r"), "both").when(F.col("a.__l"), "left_only").otherwise("right_only").alias(marker))
+        out.append(F.when(in_left & in_right, "both").when(in_left, "left_only").otherwise("right_only").alias(marker))
     return joined.select(*out)
 
 
@@ -49,16 +64,15 @@ def left_wins_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(right.select(*extra), list(keys), "inner")
 
 
-def timestep_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, left_order: Sequence[str], right_order: Sequence[str]) -> DataFrame:
-    """Full outer pairing join over a dense number of each distinct time of both sides, shared columns being an error.
+def timestep_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, left_order: Sequence[str], right_order: Sequence[str], cluster: Sequence[str] | None = None) -> DataFrame:
+    """Full outer pairing join over the timesteps of both sides, shared columns being an error.
 
-    The numbers are whole, so they compare as numbers.
+    Timestep numbers (see timestep_ids) rise one to one with the times, so pairing on
+    the times themselves gives the same rows without numbering them first.
     """
-    ids = timestep_ids(left, right, time)
-    put = lambda df: df.join(ids, time).drop(time)
-    on = ["timestep" if k == time else k for k in keys]
-    joined = pairing_join(put(left), put(right), on, left_order, right_order, "full_outer", "error")
-    return joined.join(ids, "timestep").drop("timestep").select(*keys, *[c for c in joined.columns if c not in on])
+    if time not in keys:
+        raise ValueError(f"time column {time!r} is no key")
+    return pairing_join(left, right, keys, left_order, right_order, "full_outer", "error", cluster=cluster)
 
 
 def timestep_ids(left: DataFrame, right: DataFrame, time: str) -> DataFrame:

@@ -80,7 +80,7 @@ def stream_features(left: DataFrame, right: DataFrame, left_order: Sequence[str]
     report = Report()
     a = project.drop_columns(_timed_feed(left, config), config.left_drop, keys)
     b = project.drop_columns(_timed_feed(right, config), config.right_drop, keys)
-    merged = joins.pairing_join(a, b, keys, left_order, right_order, "full_outer", config.overlap)
+    merged = joins.pairing_join(a, b, keys, left_order, right_order, "full_outer", config.overlap, cluster=[config.key])
     found = direction_columns(merged.columns, config.directions, config.detect_directions)
     out = with_directions(merged, found, False, False)
     stamp = F.col(config.time) if dict(out.dtypes)[config.time].startswith("timestamp") else parse_time(config.time)
