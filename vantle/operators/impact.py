@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import wind_vector
 from ..functions.normalize import clip01, number
 from ..functions.spatial import decay, nearest_on_line
 from .joins import distance_join, lookup_join
+from .lags import row_ids
 from .project import fill
 from .stats import scale_of
 
@@ -156,5 +157,4 @@ def attach_static(df: DataFrame, scores: DataFrame, place: str) -> DataFrame:
 def numbered_parts(lines: DataFrame, parts: str = "parts", order: list[str] | None = None) -> DataFrame:
     """(road_id, part): non-empty parts numbered in the order given."""
     each = lines.select(*(order or []), F.posexplode(parts).alias("__pos", "part")).filter(F.size("part") > 0)
-    by = [*(order or []), "__pos"]
-    return each.withColumn("road_id", F.row_number().over(Window.orderBy(*by)) - 1).select("road_id", "part")
+    return row_ids(each, [*(order or []), "__pos"], "road_id").select("road_id", "part")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.normalize import number
+from ..session import written
 from .project import require
 
 
@@ -43,21 +44,18 @@ def add_time_lags(df: DataFrame, key: str, time: str, features: Sequence[str], l
 def row_ids(df: DataFrame, order: Sequence[str | Column], name: str = "row_id", start: int = 0) -> DataFrame:
     """Dense row numbers by ``order``, without one window over all rows.
 
-    Rows are range-partitioned by the order and numbered within; each partition's
-    count is added up on the driver, one number a partition.
+    Rows are range-partitioned, sorted and numbered within their partition, and stored,
+    because a second range partitioning could cut elsewhere. Partition counts, one row
+    a partition, then give each partition's first number.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    spread = df.repartitionByRange(*cols).withColumn("__p", F.spark_partition_id())
-    counts = {r["__p"]: r["n"] for r in spread.groupBy("__p").agg(F.count("*").alias("n")).collect()}
-    base, pairs = start, []
-    for p in sorted(counts):
-        pairs += [F.lit(p), F.lit(base).cast("long")]
-        base += counts[p]
-    if not pairs:
-        return df.withColumn(name, F.lit(None).cast("long"))
-    offset = F.element_at(F.create_map(*pairs), F.col("__p"))
-    within = F.row_number().over(Window.partitionBy("__p").orderBy(*cols))
-    return spread.withColumn(name, offset + within - 1).drop("__p")
+    ordered = df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("__at", F.monotonically_increasing_id())
+    stored = written(ordered, "rows").withColumn("__p", F.shiftright("__at", 33))
+    counts = stored.groupBy("__p").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    firsts = counts.select("__p", (before + F.lit(start)).alias("__first"))
+    within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return stored.join(F.broadcast(firsts), "__p").withColumn(name, F.col("__first") + within).drop("__p", "__at", "__first")
 
 
 def dense_position(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
