@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder, written  # noqa: F401  used by the operators
+
 #: Rows and bytes that one Arrow batch may hold on its way to a Python worker.
 ARROW_ROWS, ARROW_BYTES = 4096, 8 << 20
 
@@ -27,25 +28,6 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share.
-
-    The cluster names it in spark.checkpoint.dir; only where that is unset, as in
-    local tests, a folder below the warehouse serves.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_vantle"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: lineage ends there."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_batches(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches whose texts hold about ``most`` bytes, with the texts as Python strings."""
     for batch in batches:
