@@ -121,13 +121,12 @@ def wind_scores(df: DataFrame, lookup: DataFrame, place: str, config: ImpactConf
 def static_scores(places: DataFrame, facilities: DataFrame, parts: DataFrame, config: ImpactConfig = ImpactConfig()) -> DataFrame:
     """One row a place: distances and scores that don't depend on wind, each divided by the largest.
 
-    The road score needs the nearest part at any distance. Within the radius cells find
-    it; places without one there are compared with all parts, which is a table of
-    geometry, not of facts.
+    The road score needs the nearest part at any distance: cells find it within the
+    radius, and wider cells for places without one there.
     """
     near = road_parts_near(places, parts, config.road_radius).groupBy("place").agg(F.min("dist_m").alias("d"))
     alone = places.join(near.select("place"), "place", "left_anti")
-    far = nearest_far(alone, parts)
+    far = nearest_far(alone, parts, config.road_radius)
     roads = near.unionByName(far).select("place", F.col("d").alias("road_distance_m"), decay("d", config.road_radius).alias("__road"))
     pairs = facility_pairs(places, facilities, config.facility_radius, open_at_zero=False)
     per = pairs.groupBy("place").agg(F.sum(F.col("severity") * F.col("decay")).alias("__raw"), F.count_distinct("facility_id").alias("facility_count_nearby"))
@@ -138,15 +137,26 @@ def static_scores(places: DataFrame, facilities: DataFrame, parts: DataFrame, co
     return out.select("place", "road_distance_m", "road_impact_score", "facility_count_nearby", "facility_impact_score", "overall_spatial_impact_score")
 
 
-def nearest_far(places: DataFrame, parts: DataFrame) -> DataFrame:
-    """(place, d): distance to the nearest part, however far, for the few places without one near.
+def nearest_far(places: DataFrame, parts: DataFrame, radius: float) -> DataFrame:
+    """(place, d): distance to the nearest part, however far, for places without one within ``radius``.
 
-    Places are taken to parts by bounding-box distance in doubling cells would repeat the
-    scan; instead each part meets the places once in a nested loop and is reduced at once.
+    The radius grows fourfold until every place has a part, each time by the same join
+    on cells; at most as often as the extent of the data allows.
     """
-    boxes = parts.filter(F.size("part") > 0)
-    met = places.select("place", "x", "y").join(boxes.select("part"))
-    return met.select("place", nearest_on_line("part", F.col("x"), F.col("y"))["d"].alias("d")).groupBy("place").agg(F.min("d").alias("d"))
+    ends = lambda axis, f: f(F.transform("part", lambda p: p[axis]))
+    box = parts.filter(F.size("part") > 0).agg(F.min(ends("x", F.array_min)), F.max(ends("x", F.array_max)), F.min(ends("y", F.array_min)), F.max(ends("y", F.array_max))).first()
+    here = places.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    found = places.select("place", F.lit(0.0).alias("d")).limit(0)
+    if box[0] is None or here[0] is None:
+        return found
+    reach = max(box[1], here[1]) - min(box[0], here[0]) + max(box[3], here[3]) - min(box[2], here[2]) + radius
+    left = places.select("place", "x", "y").cache()
+    while radius < 4 * reach and not left.isEmpty():
+        radius *= 4
+        near = road_parts_near(left, parts, radius).groupBy("place").agg(F.min("dist_m").alias("d")).cache()
+        found = found.unionByName(near)
+        left = left.join(near.select("place"), "place", "left_anti").cache()
+    return found
 
 
 def attach_static(df: DataFrame, scores: DataFrame, place: str) -> DataFrame:
