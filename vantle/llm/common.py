@@ -94,7 +94,7 @@ class UnitTable:
     #: what a line feed becomes before texts are cut at blanks
     LINE = " \n"
 
-    def __init__(self, encode_units: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 1_200_000, limit_chars: int = 48 << 20):
+    def __init__(self, encode_units: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 800_000, limit_chars: int = 32 << 20):
         self.encode_units, self.whole, self.limit, self.limit_chars = encode_units, whole, limit, limit_chars
         #: encoding of each unit, 0 for one that only the whole text can settle
         self.first: dict[str, bytes | int] = {}
