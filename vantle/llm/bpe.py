@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,11 @@ from pyspark.sql import functions as F
 from .common import UnitTable, bound_arrow, file_bytes, text_arrays, texts_of
 
 
+#: Bytes of text, and four times the ids, that a worker handles at a time: encoding and decoding
+#: workers of one task run side by side.
+SLICE = 4 << 20
+
+
 def parse_ranks(content: bytes) -> dict[bytes, int]:
     """The rank file's tokens: one base64 token and its rank per line."""
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
@@ -222,7 +228,7 @@ class PieceEncoder:
     def __init__(self, content: bytes, pattern: str):
         self.replay = MergeReplay(parse_ranks(content))
         self.split = regex.compile(pattern).findall
-        self.table = UnitTable(self._units, self._whole, 600_000)
+        self.table = UnitTable(self._units, self._whole, 300_000)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         return [x.tobytes() for x in self.replay.encode([p.encode("utf-8", "surrogatepass") for p in pieces])]
@@ -262,7 +268,7 @@ def encode(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value, pattern)
-        for part, texts in text_arrays(batches):
+        for part, texts in text_arrays(batches, most=SLICE):
             got = encoder.encode(texts)
             offsets = np.zeros(len(got) + 1, "<i4")
             np.cumsum([len(x) // 4 for x in got], out=offsets[1:])
@@ -282,20 +288,24 @@ def decode(df: DataFrame, rank_file: str, id_col: str = "doc_id", ids_col: str =
         tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
-        length = np.array([len(t) for t in tokens], np.int64)
-        start = np.concatenate([[0], np.cumsum(length)[:-1]])
+        length = np.array([len(t) for t in tokens], np.int32)
+        start = (np.cumsum(length) - length).astype(np.int32)
         data = np.frombuffer(b"".join(tokens), np.uint8)
+        del ranks, tokens
         for batch in batches:
-            lists = batch.column(1)
-            offsets = lists.offsets.to_numpy().astype(np.int64)
-            ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64)
-            size = length[ids]
-            ends = np.concatenate([[0], np.cumsum(size)])
-            source = np.repeat(start[ids] - ends[:-1], size) + np.arange(ends[-1])
-            flat = data[source]
-            at = ends[offsets - offsets[0]].astype("<i4")
-            decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(flat.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, decoded], names=["doc_id", "ids", "decoded"])
+            sizes = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column(1)).to_numpy())])
+            at = 0
+            while at < batch.num_rows:  # rows of about SLICE / 4 ids at a time
+                to = max(at + 1, int(np.searchsorted(sizes, sizes[at] + SLICE // 4, "right")) - 1)
+                part = batch.slice(at, to - at)
+                ids = part.column(1).flatten().to_numpy()
+                size = length[ids]
+                ends = np.concatenate([[0], np.cumsum(size)])
+                flat = data[np.repeat(start[ids] - ends[:-1].astype(np.int32), size) + np.arange(ends[-1], dtype=np.int32)]
+                reach = ends[sizes[at : to + 1] - sizes[at]].astype("<i4")
+                decoded = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(reach.tobytes()), pa.py_buffer(flat.tobytes())])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), decoded], names=["doc_id", "ids", "decoded"])
+                at = to
 
     bound_arrow(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
