@@ -33,7 +33,7 @@ from .common import UnitTable, bound_arrow, file_bytes, text_arrays, texts_of
 
 #: Bytes of text, and four times the ids, that a worker handles at a time: encoding and decoding
 #: workers of one task run side by side.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
@@ -276,7 +276,9 @@ def encode(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
             lists = pa.ListArray.from_arrays(pa.array(offsets), ids)
             yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
 
-    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    rows = texts_of(df, id_col, text_col)
+    bound_arrow(df.sparkSession, 2 * SLICE)
+    return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(df: DataFrame, rank_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -307,7 +309,7 @@ def decode(df: DataFrame, rank_file: str, id_col: str = "doc_id", ids_col: str =
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), decoded], names=["doc_id", "ids", "decoded"])
                 at = to
 
-    bound_arrow(df.sparkSession)
+    bound_arrow(df.sparkSession, 2 * SLICE)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 

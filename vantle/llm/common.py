@@ -16,10 +16,10 @@ from ..session import shared_folder, written  # noqa: F401  used by the operator
 ARROW_ROWS, ARROW_BYTES = 4096, 8 << 20
 
 
-def bound_arrow(spark: SparkSession) -> None:
+def bound_arrow(spark: SparkSession, most: int = ARROW_BYTES) -> None:
     """Keep Arrow batches small, so that a few very long texts don't fill a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
