@@ -1,5 +1,6 @@
 """Encoders against the libraries, token files and packing by round trip, lengths by brute force."""
 
+import functools
 import hashlib
 import random
 import zlib
@@ -35,10 +36,15 @@ def docs(spark):
     return spark.createDataFrame([(i, t, "x", t) for i, t in rows], "doc_id long, text string, ids string, length string")
 
 
-def ids_of(path, text):
+@functools.cache
+def tokenizer(path):
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return t
+
+
+def ids_of(path, text):
+    return tokenizer(path).encode(text or "", add_special_tokens=False).ids
 
 
 def test_merge_replay_equals_tiktoken(spark, docs):
