@@ -182,3 +182,23 @@ def test_queries_and_empty_tables(spark, sf, tmp_path, name):
     assert queries.QUERIES[name](spark, sf).count() > 0
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
+
+
+def test_rounds_go_on_while_they_save_two_percent():
+    phrase = np.array([1, 2, 3, 4], np.uint32)
+    parts = []
+    for k in range(4000):  # each round saves some 4 %: one id of each phrase
+        parts += [phrase, np.arange(100 + 21 * k, 121 + 21 * k, dtype=np.uint32)]
+    ids = np.concatenate(parts)
+    symbols, left, right, first_free = tokenio.compress(ids)
+    assert tokenio.expand(symbols, left, right, first_free).tolist() == ids.tolist()
+    assert not np.isin(symbols, phrase).any() and len(symbols) == len(ids) - 3 * 4000
+
+
+def test_bucket_count_of_a_round():
+    # 60,000 different pairs, each ten times: the first round replaces most of them
+    pairs = np.arange(120_000, dtype=np.uint32).reshape(-1, 2)
+    rng = np.random.default_rng(7)
+    ids = np.concatenate([pairs[rng.permutation(len(pairs))].ravel() for _ in range(10)])
+    _, left, _, _ = tokenio.compress(ids, gain=1.0)
+    assert len(left) > 50_000

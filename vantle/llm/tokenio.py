@@ -4,7 +4,9 @@ Documents are brought in ascending id order by a range exchange, encoded, and cu
 shards of bounded size. In a shard, frequent id pairs are replaced by nonterminals,
 round after round: a round counts all pairs by arrays, gives every pair that occurs
 often enough a nonterminal, and where two replacements overlap lets the more frequent
-pair win. A shard stores its rules, the expansion length of each nonterminal and the
+pair win. Pairs that share a bucket wait for a later round. Rounds end when no pair is
+replaced LEAST times, or after the first one that saves less than the share GAIN of the
+sequence, so pairs worth less than that in a round can stay unreplaced. A shard stores its rules, the expansion length of each nonterminal and the
 documents' lengths, so one document can be decoded without the rest.
 
 A file is a Parquet file of the shared folder whose rows are shards, so Spark's
@@ -41,7 +43,9 @@ SHARD_IDS = 2 << 20
 #: a pair needs so many replacements in a round to become a rule
 LEAST = 8
 #: rounds end when one shortens the sequence by less than this share
-GAIN = 0.05
+GAIN = 0.02
+#: pairs are counted in 2 ** BITS buckets a round
+BITS = 18
 
 SHARDS = "shard int, block int, n_ids long, n_docs long, payload binary"
 
@@ -53,10 +57,10 @@ def compress(ids: np.ndarray, least: int = LEAST, gain: float = GAIN) -> tuple[n
     lefts: list[np.ndarray] = []
     rights: list[np.ndarray] = []
     free, turn = first_free, 0
-    bits = 17
+    bits = BITS
     while len(current) > 2 * least:
         turn += 1
-        # each pair's bucket; a bucket stands for its last pair, others in it have their turn in a later round
+        # each pair's bucket; a bucket stands for its last pair, others in it have their turn in a later round if there is one
         pair = current[:-1].astype(np.uint64) << np.uint64(32) | current[1:]
         salt = np.uint64((0x9E3779B97F4A7C15 * (2 * turn + 1)) & 0xFFFFFFFFFFFFFFFF)
         bucket = (pair * salt >> np.uint64(64 - bits)).view(np.int64)
