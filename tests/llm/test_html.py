@@ -26,6 +26,29 @@ def test_wrappers_and_reader_articles():
     assert html.main_text(f"<article><p>{LONG}</p><div id=comments><article><p>{LONG}</p></article></div></article>") == LONG
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<article class='post comments-open'><p>{LONG}</p></article>",
+        f"<div class='layout has-comments'><article><p>{LONG}</p></article></div>",
+        f"<div class='layout comments'><article><p>{LONG}</p></article></div>",
+        f"<div id='related'><main><p>{LONG}</p></main></div>",
+        f"<form action=x><main><p>{LONG}</p></main></form>",
+        f"<div class='page has-sidebar'><p>{LONG}</p></div>",
+        f"<article><section id='related-work'><p>{LONG}</p></section></article>",
+        f"<article><section id='search'><p>{LONG}</p></section><div class='ad-container'>x</div></article>",
+        f"<article><p class='ad-hoc'>{LONG}</p><div class='comment-list'>x</div></article>",
+        f"<article><p data-id='ad'>{LONG}</p></article><div class='related-posts'><article>x</article></div>",
+    ],
+)
+def test_only_whole_tokens_are_furniture(page):
+    assert html.main_text(page) == LONG
+
+
+def test_headings_with_anchors_stay():
+    assert html.main_text(f"<article><h2 id='search-methods'>Search methods</h2><h2 id=comments>On comments</h2><p>{LONG}</p></article>") == f"Search methods\nOn comments\n{LONG}"
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [("", ""), ("plain", "plain"), ("<p>a</p><p>b &lt;i&gt; &#233;&nbsp;c</p>", "a\nb <i> é c"), ("<article><p>x", "x"), ("<nav>menu<article><p>x</p></article>", "x"), ("<p>a < b</p>", "a < b"), ("<script>x", ""), ("<!-- open", ""), ('<a href="x>y">link</a>', "")],

@@ -2,6 +2,9 @@
 
 Markup is stripped into lines, one a block element, and what page furniture encloses
 (menus, forms, adverts, scripts, reader comments, ...) loses its text with its markup.
+Elements are furniture by their name or by whole tokens of their class, id or role; an
+article is so only as a reader's comment, and a wrapper known by its tokens, or a form,
+gives way to an article or main region inside it.
 Each remaining line weighs its characters outside links; lines of a declared article
 or main region weigh at least the surge threshold, lines beside such a region nothing.
 Weights are summed over sliding windows of lines. The curve surges where a window's
@@ -35,33 +38,47 @@ BLOCKS = frozenset(
 RAW = frozenset("script style noscript template textarea title iframe svg math object canvas audio video select noembed noframes xmp".split())
 FURNITURE = frozenset("nav aside form footer head menu dialog button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: words of class, id or role that mark furniture, whatever the element
+#: whole tokens of class, id or role that mark furniture, whatever the element
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent contentinfo cookie cookies disqus"
     " footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies reply respond"
     " search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
-READER_WORDS = frozenset("comment comments commentlist disqus related replies reply respond".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: such a word joined to one of these by - or _ is a whole token too: site-footer, cookie-notice, comment-list
+_BEFORE = "site main global primary secondary top bottom left right mobile".split()
+_AFTER = "container wrapper wrap area box bar banner notice popup modal overlay panel inner list links menu form buttons icons slot unit widget left right".split()
+_joined = lambda words: words | {f"{a}{j}{b}" for w in words for j in "-_" for a, b in [*((x, w) for x in _BEFORE), *((w, x) for x in _AFTER)]}
+COMMENT_TOKENS = _joined(COMMENT_WORDS) | {"comments-section", "comment-body", "comment-thread", "comment-respond"}
+READER_TOKENS = COMMENT_TOKENS | _joined(frozenset(["related"])) | {f"related{j}{w}" for j in "-_" for w in ("posts", "articles", "stories", "content")}
+TOKENS = _joined(FURNITURE_WORDS) | READER_TOKENS
+HEADER_TOKENS = _joined(frozenset(["header"])) - {"main-header", "main_header"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][\w:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^>]*+)>""", re.S)
-MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+MARKS = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 MAIN_ROLE = re.compile(r"""\brole\s*=\s*["']?(?:main|article)\b""", re.I)
 HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
 def _furniture(name: str, attributes: str, in_main: bool) -> str:
-    """Why an element is furniture: ``tag``, ``words`` or, for what readers wrote, ``readers``; empty if it isn't."""
+    """Why an element is furniture: ``tag``, ``words`` or, for what readers wrote and related pages, ``readers``; empty if it isn't."""
     if name in FURNITURE or name == "header" and not in_main:
         return "tag"
     if name in ("html", "body", "main") or not attributes:
         return ""
     words: set[str] = set()
     for found in MARKS.findall(attributes):
-        words.update(re.split(r"[^a-z]+", "".join(found).lower()))
-    if words & READER_WORDS:
-        return "readers"
+        tokens = "".join(found[1:]).lower().split()
+        # the id of a heading, or of a section of the main text, is an anchor named after the heading
+        if found[0].lower() != "id" or name not in HEADINGS and not (in_main and name == "section"):
+            words.update(tokens)
+        elif name == "section":
+            words.update(COMMENT_TOKENS.intersection(tokens))
     if name == "article":
-        return ""
-    if words & FURNITURE_WORDS or HIDDEN.search(attributes) or not in_main and "header" in words:
+        return "readers" if words & COMMENT_TOKENS else ""
+    if words & READER_TOKENS:
+        return "readers"
+    if words & TOKENS or HIDDEN.search(attributes) or not in_main and words & HEADER_TOKENS:
         return "words"
     return ""
 
@@ -73,6 +90,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     linked = 0
     skip_name, skip_depth, skip_why = "", 0, ""
     main: list[str] = []
+    met = False
     link = 0
     at = 0
 
@@ -113,10 +131,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         why = "" if closing or name in VOID or attributes.endswith("/") else _furniture(name, attributes, bool(main))
         if not closing and not why and (name in ("article", "main") or MAIN_ROLE.search(attributes)):
             end_line()
-            # furniture that was never closed, or is a wrapper known by its words only, ends where the article begins
-            if skip_name and (skip_why == "words" or not _closed_later(page, at, skip_name)):
+            # furniture that was never closed, or is a wrapper known by its words only, ends where the article begins;
+            # what readers wrote does so at a main region, or if the page had no article before
+            if skip_name and (name == "main" or skip_name == "form" or skip_why == "words" or skip_why == "readers" and not met or not _closed_later(page, at, skip_name)):
                 skip_name, skip_depth = "", 0
             if not skip_name:
+                met = True
                 main.append(name)
                 continue
         if skip_name:
