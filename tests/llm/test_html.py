@@ -45,6 +45,16 @@ def test_only_whole_tokens_are_furniture(page):
     assert html.main_text(page) == LONG
 
 
+@pytest.mark.parametrize("attributes", ["class='overflow-hidden'", "class='md:hidden lg:block'", "title='Hidden costs'", "title='display: none'", "hidden=until-found", "data-hidden", "title='class=ad'", "aria-hidden=false"])
+def test_values_do_not_hide(attributes):
+    assert html.main_text(f"<div {attributes}><article><p {attributes}>{LONG}</p></article></div>") == LONG
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN", "hidden=''", "class=x hidden id=y", "aria-hidden=true", "aria-hidden='true'", "style='color:red; display : none'"])
+def test_hidden_goes(attributes):
+    assert html.main_text(f"<article><p>{LONG}</p><div {attributes}><p>x</p></div></article>") == LONG
+
+
 def test_headings_with_anchors_stay():
     assert html.main_text(f"<article><h2 id='search-methods'>Search methods</h2><h2 id=comments>On comments</h2><p>{LONG}</p></article>") == f"Search methods\nOn comments\n{LONG}"
 

@@ -55,22 +55,39 @@ TOKENS = _joined(FURNITURE_WORDS) | READER_TOKENS
 HEADER_TOKENS = _joined(frozenset(["header"])) - {"main-header", "main_header"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][\w:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^>]*+)>""", re.S)
-MARKS = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-MAIN_ROLE = re.compile(r"""\brole\s*=\s*["']?(?:main|article)\b""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+MAIN_ROLES = frozenset(["main", "article"])
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: attributes without any of these words say nothing about what an element is
+TELLS = re.compile(r"\b(?:class|id|role|hidden|style)\b", re.I)
+NOT_SHOWN = re.compile(r"(?<![\w-])display\s*:\s*none\b", re.I)
 
 
-def _furniture(name: str, attributes: str, in_main: bool) -> str:
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by attribute name in lower case; of a repeated name the first counts, a bare one has the empty value."""
+    out: dict[str, str] = {}
+    if TELLS.search(raw):
+        for found in ATTRIBUTE.finditer(raw):
+            out.setdefault(found[1].lower(), found[2] or found[3] or found[4] or "")
+    return out
+
+
+def _hidden(named: dict[str, str]) -> bool:
+    """A hidden attribute (but until-found), aria-hidden=true, or a style of display:none."""
+    bare = "hidden" in named and named["hidden"].strip().lower() != "until-found"
+    return bare or named.get("aria-hidden", "").strip().lower() == "true" or bool(NOT_SHOWN.search(named.get("style", "")))
+
+
+def _furniture(name: str, named: dict[str, str], in_main: bool) -> str:
     """Why an element is furniture: ``tag``, ``words`` or, for what readers wrote and related pages, ``readers``; empty if it isn't."""
     if name in FURNITURE or name == "header" and not in_main:
         return "tag"
-    if name in ("html", "body", "main") or not attributes:
+    if name in ("html", "body", "main") or not named:
         return ""
     words: set[str] = set()
-    for found in MARKS.findall(attributes):
-        tokens = "".join(found[1:]).lower().split()
+    for key in ("class", "id", "role"):
+        tokens = named.get(key, "").lower().split()
         # the id of a heading, or of a section of the main text, is an anchor named after the heading
-        if found[0].lower() != "id" or name not in HEADINGS and not (in_main and name == "section"):
+        if key != "id" or name not in HEADINGS and not (in_main and name == "section"):
             words.update(tokens)
         elif name == "section":
             words.update(COMMENT_TOKENS.intersection(tokens))
@@ -78,7 +95,7 @@ def _furniture(name: str, attributes: str, in_main: bool) -> str:
         return "readers" if words & COMMENT_TOKENS else ""
     if words & READER_TOKENS:
         return "readers"
-    if words & TOKENS or HIDDEN.search(attributes) or not in_main and words & HEADER_TOKENS:
+    if words & TOKENS or _hidden(named) or not in_main and words & HEADER_TOKENS:
         return "words"
     return ""
 
@@ -128,8 +145,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             elif name in ("script", "style"):
                 at = len(page)
             continue
-        why = "" if closing or name in VOID or attributes.endswith("/") else _furniture(name, attributes, bool(main))
-        if not closing and not why and (name in ("article", "main") or MAIN_ROLE.search(attributes)):
+        named = {} if closing else _attributes(attributes)
+        why = "" if closing or name in VOID or attributes.endswith("/") else _furniture(name, named, bool(main))
+        if not closing and not why and (name in ("article", "main") or MAIN_ROLES.intersection(named.get("role", "").lower().split())):
             end_line()
             # furniture that was never closed, or is a wrapper known by its words only, ends where the article begins;
             # what readers wrote does so at a main region, or if the page had no article before
