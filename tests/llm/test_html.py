@@ -55,6 +55,18 @@ def test_hidden_goes(attributes):
     assert html.main_text(f"<article><p>{LONG}</p><div {attributes}><p>x</p></div></article>") == LONG
 
 
+def test_short_declared_regions_are_whole():
+    assert html.main_text("<article><h1>Head</h1><p>One.</p></article><p>Copyright by us</p>") == "Head\nOne."
+    assert html.main_text(f"<article><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article><p>x</p><article><p>Short.</p></article><p>y</p>") == f"{LONG}\n{LONG}\n{LONG}\nShort."
+
+
+def test_undeclared_pages_keep_headlines_and_single_lines():
+    links = "<p><a href=a>Home and more</a></p>" * 4
+    head = "<h1>Head</h1><p>By me</p><p>1 May</p><p>In town</p>"
+    assert html.main_text(f"{links}{head}<p>{LONG}</p>{links}") == f"Head\nBy me\n1 May\nIn town\n{LONG}"
+    assert html.main_text(f"{links}<p>{LONG}</p>{links}<p>x</p>") == LONG
+
+
 def test_headings_with_anchors_stay():
     assert html.main_text(f"<article><h2 id='search-methods'>Search methods</h2><h2 id=comments>On comments</h2><p>{LONG}</p></article>") == f"Search methods\nOn comments\n{LONG}"
 

@@ -5,11 +5,12 @@ Markup is stripped into lines, one a block element, and what page furniture encl
 Elements are furniture by their name or by whole tokens of their class, id or role; an
 article is so only as a reader's comment, and a wrapper known by its tokens, or a form,
 gives way to an article or main region inside it.
-Each remaining line weighs its characters outside links; lines of a declared article
-or main region weigh at least the surge threshold, lines beside such a region nothing.
-Weights are summed over sliding windows of lines. The curve surges where a window's
-sum reaches the threshold and the following ones stay above zero, and dives where it
-falls to zero; the text between the two points is kept, every line of it.
+If the page declares an article or main region, all of its remaining lines are the main
+text. Else each line weighs its characters outside links, and weights are summed over
+sliding windows of lines. The curve surges where a line's weight reaches the threshold,
+or a window's sum does and the following ones stay above zero, and dives where it falls
+to zero; the text between the two points is kept, every line of it, and so are the
+lines with weight that adjoin it before.
 
 Defined results: null html counts as empty; a page without a surge gives its lines
 that aren't mostly links, an empty page the empty text; unclosed or broken markup is
@@ -192,8 +193,9 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     lines = lines_of(page)
     if not lines:
         return ""
-    declared = any(inside for _, _, inside in lines)
-    weight = [(max(len(t), surge) if inside else 0) if declared else max(0, len(t) - 2 * linked) for t, linked, inside in lines]
+    if any(inside for _, _, inside in lines):
+        return "\n".join(t for t, _, inside in lines if inside)
+    weight = [max(0, len(t) - 2 * linked) for t, linked, _ in lines]
     n = len(lines)
     ends = [0]
     for w in weight:
@@ -202,12 +204,14 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     kept = [False] * n
     i = 0
     while i < n:
-        if weight[i] and block[i] >= surge and all(block[i : i + window]):
+        if weight[i] >= surge or weight[i] and block[i] >= surge and all(block[i : i + window]):
             j = i
-            while j < n and (weight[j] if declared else block[j] and (weight[j] or any(weight[j : j + window]))):
-                kept[j] = True
-                j += 1
-            i = j
+            while j and weight[j - 1] and not kept[j - 1]:
+                j -= 1
+            kept[j:i] = [True] * (i - j)
+            while i < n and block[i]:
+                kept[i] = True
+                i += 1
         else:
             i += 1
     if not any(kept):
