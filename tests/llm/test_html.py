@@ -67,6 +67,11 @@ def test_undeclared_pages_keep_headlines_and_single_lines():
     assert html.main_text(f"{links}<p>{LONG}</p>{links}<p>x</p>") == LONG
 
 
+def test_formulas_and_objects_are_text():
+    page = f"<article><p>{LONG}</p><p>If <math><mi>a</mi><mo>=</mo><mi>b</mi></math> then <object data=x><param name=y>see the table</object>.</p></article>"
+    assert html.main_text(page) == f"{LONG}\nIf a=b then see the table."
+
+
 def test_headings_with_anchors_stay():
     assert html.main_text(f"<article><h2 id='search-methods'>Search methods</h2><h2 id=comments>On comments</h2><p>{LONG}</p></article>") == f"Search methods\nOn comments\n{LONG}"
 

@@ -36,7 +36,7 @@ BLOCKS = frozenset(
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 #: their content is no markup and no text of the page
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas audio video select noembed noframes xmp".split())
+RAW = frozenset("script style noscript template textarea title iframe svg canvas audio video select noembed noframes xmp".split())
 FURNITURE = frozenset("nav aside form footer head menu dialog button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: whole tokens of class, id or role that mark furniture, whatever the element
