@@ -91,6 +91,14 @@ def test_large_cluster_is_chunked(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in brute(rows, 2).items()}
 
 
+def test_leads_of_a_crowded_region_all_meet(monkeypatch):
+    monkeypatch.setattr(minhash, "REGION", 8)
+    sketches = np.random.default_rng(9).integers(0, 256, (100, minhash.SKETCH), np.uint8)
+    sketches[97] = sketches[2]  # far apart in the order, in different pieces and blocks
+    found = {(int(a), int(b)) for a, close in minhash._region([b"k" * 29] * 100, np.arange(100), sketches, 40, minhash.LEAST_DEPTH) for b in close}
+    assert found == {(2, 97)}
+
+
 def test_links_are_whole():
     rng = np.random.default_rng(4)
     base = np.arange(100, dtype=np.uint64)
