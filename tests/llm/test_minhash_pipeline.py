@@ -99,6 +99,19 @@ def test_leads_of_a_crowded_region_all_meet(monkeypatch):
     assert found == {(2, 97)}
 
 
+def test_repeated_ids_with_different_texts(spark):
+    text = lambda k, n=60: " ".join(f"{k}{i}" for i in range(n))
+    # 5 has three unlike texts, one near to 3's, and one twice; 7 has two texts near each other; 9 a text and an empty one; 8 is near 5's second text
+    rows = [(5, text("a")), (5, text("b")), (5, text("b")), (5, text("c")), (3, text("a") + " x"), (7, text("d")), (7, text("d") + " x"), (8, text("b") + " y"), (9, text("e")), (9, ""), (10, text("f")), (11, text("f") + " z"), (None, text("a"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in minhash.one_of_each(df, 2).collect()), key=str)
+    one = [t for i, t in kept if i == 7]
+    assert len(one) == 1 and one[0] in (text("d"), text("d") + " x")
+    assert [x for x in kept if x[0] != 7] == sorted([(None, text("a")), (3, text("a") + " x"), (5, text("b")), (5, text("c")), (9, text("e")), (9, ""), (10, text("f"))], key=str)
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df, 2).collect()}
+    assert (5, 59, 3, False) in got and (5, 59, 5, True) in got and (8, 60, 5, False) in got and (11, 60, 10, False) in got and (9, 0, 9, True) in got
+
+
 def test_links_are_whole():
     rng = np.random.default_rng(4)
     base = np.arange(100, dtype=np.uint64)

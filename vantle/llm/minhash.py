@@ -45,6 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lags import row_ids
 from .common import text_batches, texts_of, written
 from .graph import components
 
@@ -104,6 +105,18 @@ def signatures(df: DataFrame, size: int, id_col: str = "doc_id", text_col: str =
     return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, fingerprint binary, signature binary")
 
 
+def _printed(df: DataFrame, size: int, text_col: str = "text") -> DataFrame:
+    """(row, print): every row whole, with the fingerprint of its text's set."""
+    rows = df.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_batches(batches):
+            sets = (shingle_set(t, size) for t in texts)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())], names=["row", "print"])
+
+    return rows.mapInArrow(run, f"row {df.schema.simpleString()}, print binary")
+
+
 PREFIX = 1 + 4 * LEAST_DEPTH
 ROWS = "a long, b long, prefix binary, sketch binary"
 
@@ -213,7 +226,7 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
             a.append(np.full(len(close), ids[lead])), b.append(ids[close])
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    rows = classes.select(F.col("rep").alias("id"), "signature").mapInArrow(orders, "key binary, id long, sketch binary")
+    rows = classes.select(F.col("node").alias("id"), "signature").mapInArrow(orders, "key binary, id long, sketch binary")
     rows = rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     found = written(rows.mapInArrow(scan, ROWS), "forest")
     cut = found.filter("prefix is not null").select("a", "prefix", "sketch").dropDuplicates(["a", "prefix"]).groupBy("prefix").applyInArrow(rejoin, "a long, b long")
@@ -322,14 +335,23 @@ def _compare(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.select("chunk", "id", "text", "visitor", "grp").repartition("chunk").sortWithinPartitions("chunk", "visitor").mapInArrow(run, "a long, b long")
 
 
-def confirmed(docs: DataFrame, links: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(a, b): links confirmed on full sets, as many as keep every group whole."""
+def confirmed(docs: DataFrame, links: DataFrame, size: int, percent: int, id_col: str, text_col: str, classes: DataFrame | None = None) -> DataFrame:
+    """(a, b): links confirmed on full sets, as many as keep every group whole.
+
+    Links are between doc_ids or, with ``classes`` (node, rep, fingerprint), between nodes:
+    of a doc_id's texts the one with the class's fingerprint counts.
+    """
     clusters = written(components(links), "clusters")
     sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
     members = clusters.join(sizes, "component").withColumn("chunks", F.ceil(F.col("n") / CHUNK))
     texts = texts_of(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     # the same way of joining at every size: members grow with the documents
-    texts = texts.join(members.hint("merge"), texts["doc_id"] == members["id"]).dropDuplicates(["id"])
+    if classes is None:
+        texts = texts.join(members.hint("merge"), texts["doc_id"] == members["id"]).dropDuplicates(["id"])
+    else:
+        members = members.join(classes.select(F.col("node").alias("id"), "rep", "fingerprint"), "id")
+        texts = _printed(texts.join(members.hint("merge"), texts["doc_id"] == members["rep"]), size)
+        texts = texts.filter(F.col("print") == F.col("row.fingerprint")).select("row.*").dropDuplicates(["id"])
     own = F.pmod(F.xxhash64("id"), F.col("chunks"))
     stored = written(texts.select("id", "component", "chunks", own.alias("own"), "text"), "members")
     # the cluster's first documents, by degree in the candidate graph, go to each of its chunks
@@ -364,25 +386,61 @@ def _anchors(many: DataFrame, degree: DataFrame) -> DataFrame:
     return best.select(F.col("x.id").alias("id"), "component", F.col("x.own").alias("own"), copies.alias("copy")).filter("copy <> own").drop("own")
 
 
-def near_duplicates(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row.
+def _groups(df: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Every row's (doc_id, n_shingles, fingerprint); each class's (fingerprint, rep, node, component, least);
+    and the doc_ids that have texts of different sets, None if there are none.
 
-    Documents are linked if 100 * intersection >= percent * union of their shingle sets.
+    A class is a node of the link graph by its representative's doc_id. Where a doc_id has several
+    texts it may represent several classes; nodes then are the numbers of the classes by doc_id.
     """
     rows = written(signatures(df, size, id_col, text_col), "signatures")
+    prints = F.xxhash64(F.coalesce("fingerprint", F.lit(b"")))
+    mixed = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min(prints).alias("lo"), F.max(prints).alias("hi")).filter("lo <> hi").select("doc_id")
+    mixed = written(mixed, "mixed")
+    unlike = not mixed.isEmpty()
     named = rows.filter("doc_id is not null and fingerprint is not null")
     classes = written(named.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
+    classes = row_ids(classes, ["rep", "fingerprint"], "node") if unlike else classes.withColumn("node", F.col("rep"))
     links = written(candidates(classes, percent / 100), "candidates")
-    groups = components(confirmed(df, links, size, percent, id_col, text_col))
-    of = classes.select("fingerprint", "rep").join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("fingerprint", F.coalesce("component", "rep").alias("component"))
-    out = rows.select("doc_id", "n_shingles", "fingerprint").join(of, "fingerprint", "left")
+    groups = components(confirmed(df, links, size, percent, id_col, text_col, classes if unlike else None))
+    of = classes.select("fingerprint", "rep", "node").join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if unlike:
+        return rows, of.join(classes.select(F.col("node").alias("component"), F.col("rep").alias("least")), "component"), mixed
+    return rows, of.withColumn("least", F.col("component")), None
+
+
+def near_duplicates(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row.
+
+    Documents are linked if 100 * intersection >= percent * union of their shingle sets.
+    """
+    rows, of, _ = _groups(df, size, percent, id_col, text_col)
+    return _marked(rows, of)
+
+
+def _marked(rows: DataFrame, of: DataFrame) -> DataFrame:
+    out = rows.select("doc_id", "n_shingles", "fingerprint").join(of.select("fingerprint", F.col("least").alias("component")), "fingerprint", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of df, all columns, of the least doc_id of each group; a repeated doc_id keeps one row, null ids keep all."""
-    gone = near_duplicates(df, size, percent, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    named = df.filter(F.col(id_col).isNotNull())
-    kept = named.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti").dropDuplicates([id_col])
-    return kept.unionByName(df.filter(F.col(id_col).isNull()))
+    """The rows of df, all columns, of the least doc_id of each group; null ids keep all.
+
+    Rows with the same doc_id and the same set of shingles keep one; a doc_id's texts of
+    different sets are documents of their own.
+    """
+    rows, of, mixed = _groups(df, size, percent, id_col, text_col)
+    gone = _marked(rows, of).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    named, key = df.filter(F.col(id_col).isNotNull()), F.col(id_col).cast("long")
+    nulls = df.filter(F.col(id_col).isNull())
+    if mixed is None:
+        return named.join(gone, key == F.col("_gone"), "left_anti").dropDuplicates([id_col]).unionByName(nulls)
+    ids = mixed.select(F.col("doc_id").alias("_mixed"))
+    plain = named.join(ids, key == F.col("_mixed"), "left_anti").join(gone, key == F.col("_gone"), "left_anti").dropDuplicates([id_col])
+    # of a doc_id with several texts, the rows of its groups' least classes stay, and one without shingles
+    several = _printed(named.join(ids, key == F.col("_mixed"), "left_semi"), size, text_col).withColumn("_id", F.col("row").getField(id_col).cast("long"))
+    least = of.filter("node = component").select("fingerprint", "rep")
+    first = several.join(least, (F.col("print") == F.col("fingerprint")) & (F.col("_id") == F.col("rep")), "left_semi")
+    kept = first.unionByName(several.filter("print is null")).dropDuplicates(["_id", "print"]).select("row.*")
+    return plain.unionByName(kept).unionByName(nulls)
