@@ -6,6 +6,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vantle.llm import bpe, lengths, packing, queries, tokenio
-from vantle.llm.common import file_bytes
+from vantle.llm.common import UnitTable, file_bytes
 from vantle.llm.vocabulary import LibraryEncoder
 
 RANKS, BYTES, WORDS = (P.path(n) for n in ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -184,10 +186,37 @@ def test_queries_and_empty_tables(spark, sf, tmp_path, name):
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
 
 
-def test_rounds_go_on_while_they_save_two_percent():
+def apart(symbols):
+    """Times that each pair occurs without overlap, leftmost first."""
+    count, taken = {}, {}
+    for k, pair in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True)):
+        if taken.get(pair, -2) < k - 1:
+            count[pair] = count.get(pair, 0) + 1
+            taken[pair] = k
+    return count
+
+
+def test_no_frequent_pair_stays(sf):
+    encoder = LibraryEncoder(file_bytes(WORDS))
+    documents = pq.read_table(f"{sf}/documents.parquet", columns=["text"])["text"].combine_chunks()
+    rng = np.random.default_rng(7)
+    pairs = np.arange(120_000, dtype=np.uint32).reshape(-1, 2)
+    cases = [
+        np.frombuffer(b"".join(encoder.encode(documents.fill_null(""))), "<u4"),
+        np.concatenate([pairs[rng.permutation(len(pairs))].ravel() for _ in range(10)]),
+        rng.integers(0, 6, 20_000), np.repeat(rng.integers(0, 50, 3000), rng.integers(1, 40, 3000)), np.zeros(10_001), np.tile([1, 2, 1, 1, 2], 3000),
+    ]
+    for ids in cases:
+        ids = np.asarray(ids, np.uint32)
+        symbols, left, right, first_free = tokenio.compress(ids)
+        assert tokenio.expand(symbols, left, right, first_free).tolist() == ids.tolist()
+        assert max(apart(symbols).values()) < tokenio.LEAST
+
+
+def test_rules_that_each_save_little_are_kept():
     phrase = np.array([1, 2, 3, 4], np.uint32)
     parts = []
-    for k in range(4000):  # each round saves some 4 %: one id of each phrase
+    for k in range(4000):  # a round saves one id of each phrase, some 4 %
         parts += [phrase, np.arange(100 + 21 * k, 121 + 21 * k, dtype=np.uint32)]
     ids = np.concatenate(parts)
     symbols, left, right, first_free = tokenio.compress(ids)
@@ -195,10 +224,16 @@ def test_rounds_go_on_while_they_save_two_percent():
     assert not np.isin(symbols, phrase).any() and len(symbols) == len(ids) - 3 * 4000
 
 
-def test_bucket_count_of_a_round():
-    # 60,000 different pairs, each ten times: the first round replaces most of them
-    pairs = np.arange(120_000, dtype=np.uint32).reshape(-1, 2)
-    rng = np.random.default_rng(7)
-    ids = np.concatenate([pairs[rng.permutation(len(pairs))].ravel() for _ in range(10)])
-    _, left, _, _ = tokenio.compress(ids, gain=1.0)
-    assert len(left) > 50_000
+def test_units_met_again_are_kept():
+    made = []
+
+    def encode(units):
+        made.extend(units)
+        return np.array([len(u) for u in units], np.uint32), np.ones(len(units), np.int64)
+
+    table = UnitTable(encode, lambda text: b"whole", limit=40)
+    for k in range(50):
+        got = table.encode([f"often w{k} x{k}", "often  twice"])
+        assert np.frombuffer(got[0], "<u4").tolist() == [5, 2 + len(str(k)), 2 + len(str(k))] and got[1] == b"whole"
+    assert made.count("often") == made.count(" often") == 1 and len(made) == 103 and len(table.young.places) + len(table.old.places) <= 48
+    assert table.counts(pa.array(["often w1", ""])).tolist()[0] == 2

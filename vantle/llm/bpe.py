@@ -233,11 +233,12 @@ class PieceEncoder:
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         return [x.tobytes() for x in self.replay.encode([p.encode("utf-8", "surrogatepass") for p in pieces])]
 
-    def _units(self, units: list[str]) -> list[bytes]:
+    def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         cut = list(map(self.split, units))
         distinct = list(dict.fromkeys(p for pieces in cut for p in pieces))
         of = dict(zip(distinct, self._pieces(distinct), strict=True))
-        return [b"".join([of[p] for p in pieces]) for pieces in cut]
+        got = [b"".join([of[p] for p in pieces]) for pieces in cut]
+        return np.frombuffer(b"".join(got), "<u4"), np.fromiter(map(len, got), np.int64, len(got)) // 4
 
     def _whole(self, text: str) -> bytes:
         pieces = self.split(text)

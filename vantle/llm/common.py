@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -74,6 +75,39 @@ def file_bytes(path: str) -> bytes:
         return file.read()
 
 
+class Kept:
+    """Unit strings with their ids: a dictionary of places in one growing array of ids."""
+
+    def __init__(self) -> None:
+        #: start << 32 | number of ids; ODD for a unit that only the whole text can settle
+        self.places: dict[str, int] = {}
+        self.ids = np.empty(1 << 16, np.uint32)
+        self.used = self.chars = 0
+
+    def add(self, units: list[str], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Enter units whose ids follow each other in ``ids``; their places."""
+        total = len(ids)
+        if self.used + total > len(self.ids):
+            wider = np.empty(max(2 * len(self.ids), self.used + total), np.uint32)
+            wider[: self.used] = self.ids[: self.used]
+            self.ids = wider
+        self.ids[self.used : self.used + total] = ids
+        places = (self.used + np.cumsum(size) - size) << 32 | size
+        self.used += total
+        self.places.update(zip(units, places.tolist(), strict=True))
+        self.chars += sum(map(len, units))
+        return places
+
+
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start .. start + size - 1 of every row, one row after the other."""
+    reach = np.cumsum(size)
+    total = int(reach[-1]) if len(reach) else 0
+    if total < 1 << 31 and (not len(start) or int(start.max()) < 1 << 31):
+        return np.repeat((start - (reach - size)).astype(np.int32), size) + np.arange(total, dtype=np.int32)
+    return np.repeat(start - (reach - size), size) + np.arange(total)
+
+
 class UnitTable:
     """Encodings of text units, each computed once per worker and looked up afterwards.
 
@@ -85,42 +119,87 @@ class UnitTable:
     A batch is cut in units and its distinct units are found by Arrow's kernels; only
     the distinct ones become Python strings, and the texts' ids are gathered by arrays.
 
-    encode_units: list of unit strings -> list of bytes, little-endian 32-bit ids
+    encode_units: list of unit strings -> all their ids in one array, and how many each has
     whole: text -> bytes
-    limit, limit_chars: units and their characters kept; beyond either the table
-    starts anew, so memory stays bounded.
+    limit, limit_chars: units and their characters kept. They are held in two
+    generations of half that size: when the young one is full it becomes the old one,
+    and the former old one goes. A unit found in the old one moves to the young one,
+    so frequent units stay and those not met for long are dropped.
     """
 
     #: what a line feed becomes before texts are cut at blanks
     LINE = " \n"
+    MISSING, ODD = -1, -2
 
-    def __init__(self, encode_units: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], limit: int = 800_000, limit_chars: int = 32 << 20):
+    def __init__(self, encode_units: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], whole: Callable[[str], bytes], limit: int = 800_000, limit_chars: int = 32 << 20):
         self.encode_units, self.whole, self.limit, self.limit_chars = encode_units, whole, limit, limit_chars
-        #: encoding of each unit, 0 for one that only the whole text can settle
-        self.first: dict[str, bytes | int] = {}
-        self.rest: dict[str, bytes | int] = {}
-        self.chars = 0
-
-    def _learn(self, table: dict, new: set[str], blank: str) -> None:
-        bare = {u: u[1:] if blank and u[:1] == "\n" else u for u in new}
-        odd = [u for u, x in bare.items() if x.split() != [x]]
-        for u in odd:
-            table[u] = 0
-        plain = list(new.difference(odd))
-        table.update(zip(plain, self.encode_units([u if u[0] == "\n" else blank + u for u in plain]), strict=True))
-        self.chars += sum(map(len, new))
-
-    def _learn_rest(self, new: set[str]) -> None:
-        self._learn(self.rest, new, " ")
-
-    def _heads(self, words: list[str], index: np.ndarray, starts: np.ndarray) -> list[bytes | int]:
-        """Encodings of the texts' first units, which have no blank before them; their places in ``index`` point behind ``words``."""
-        heads = [words[k] for k in index[starts].tolist()]
-        new = set(heads).difference(self.first)
-        if new:
-            self._learn(self.first, new, "")
-        index[starts] = len(words) + np.arange(len(starts))
-        return [self.first[h] for h in heads]
+        self.young, self.old = Kept(), Kept()
+
+    def known(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which keys were met before, their ids in one array, how many each of them has)."""
+        missing = itertools.repeat(self.MISSING)
+        young, old = (np.fromiter(map(kept.places.get, keys, missing), np.int64, len(keys)) for kept in (self.young, self.old))
+        there = np.flatnonzero((young >= 0) | (old >= 0))
+        offset = np.where(young[there] >= 0, 0, len(self.young.ids))
+        place = np.where(young[there] >= 0, young[there], old[there])
+        size = place & 0xFFFFFFFF
+        return there, np.concatenate([self.young.ids, self.old.ids])[spans((place >> 32) + offset, size)] if len(there) else np.empty(0, np.uint32), size
+
+    def _heads(self, words: list[str], index: np.ndarray, starts: np.ndarray) -> None:
+        """The texts' first units have no blank before them: they get keys of their own, that begin with one."""
+        heads, which = np.unique(index[starts], return_inverse=True)
+        index[starts] = len(words) + which
+        words += [" " + words[k] for k in heads.tolist()]
+
+    def _odd(self, key: str) -> bool:
+        bare = key[1:] if key[:1] in " \n" else key
+        return bare.split() != [bare]
+
+    def _unit(self, key: str) -> str:
+        return key[1:] if key[0] == " " else key if key[0] == "\n" else " " + key
+
+    def _learn(self, keys: list[str]) -> np.ndarray:
+        """Places of keys that neither generation holds."""
+        odd = np.fromiter(map(self._odd, keys), bool, len(keys))
+        places = np.full(len(keys), self.ODD)
+        if odd.any():
+            self.young.places.update(dict.fromkeys((k for k, o in zip(keys, odd.tolist(), strict=True) if o), self.ODD))
+            keys = [k for k, o in zip(keys, odd.tolist(), strict=True) if not o]
+        places[~odd] = self.young.add(keys, *self.encode_units(list(map(self._unit, keys))))
+        return places
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Places in the young generation of distinct units, ODD for those that only the whole text can settle."""
+        if len(self.young.places) > self.limit // 2 or self.young.chars > self.limit_chars // 2:
+            self.young, self.old = Kept(), self.young
+        missing = itertools.repeat(self.MISSING)
+        places = np.fromiter(map(self.young.places.get, words, missing), np.int64, len(words))
+        todo = np.flatnonzero(places == self.MISSING)
+        if len(todo) and self.old.places:
+            keys = [words[k] for k in todo.tolist()]
+            had = np.fromiter(map(self.old.places.get, keys, missing), np.int64, len(keys))
+            there = np.flatnonzero(had >= 0)
+            if len(there):
+                at, size = had[there] >> 32, had[there] & 0xFFFFFFFF
+                places[todo[there]] = self.young.add([keys[k] for k in there.tolist()], self.old.ids[spans(at, size)], size)
+            todo = todo[had < 0]
+        if len(todo):
+            places[todo] = self._learn([words[k] for k in todo.tolist()])
+        return places
+
+    def _look_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of every unit of all texts, end of each text's units, which texts are to be encoded whole)."""
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", self.LINE), " ")
+        ends = np.cumsum(pc.list_value_length(parts).to_numpy())
+        starts = np.concatenate([[0], ends[:-1]])
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        index = coded.indices.to_numpy().astype(np.int32)
+        self._heads(words, index, starts)
+        places = self._places(words)
+        odd = places < 0
+        whole = np.logical_or.reduceat(odd[index], starts) if odd.any() else np.zeros(len(texts), bool)
+        return np.where(odd, 0, places)[index], ends, whole
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Each text's encoding."""
@@ -128,35 +207,23 @@ class UnitTable:
             texts = pa.array(texts, pa.string())
         if not len(texts):
             return []
-        if len(self.first) + len(self.rest) > self.limit or self.chars > self.limit_chars:
-            self.first, self.rest, self.chars = {}, {}, 0
-        parts = pc.split_pattern(pc.replace_substring(texts, "\n", self.LINE), " ")
-        ends = np.cumsum(pc.list_value_length(parts).to_numpy())
-        starts = np.concatenate([[0], ends[:-1]])
-        coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        index = coded.indices.to_numpy().astype(np.int32)
-        values = list(map(self.rest.get, words))
-        unknown = [k for k, v in enumerate(values) if v is None]
-        if unknown:
-            self._learn_rest({words[k] for k in unknown})
-            for k in unknown:
-                values[k] = self.rest[words[k]]
-        values += self._heads(words, index, starts)
-        odd = np.array([v == 0 for v in values])
-        values = [v or b"" for v in values]
-        size = np.fromiter(map(len, values), np.int32, len(values)) // 4
-        at = np.cumsum(size, dtype=np.int32) - size
-        ids = np.frombuffer(b"".join(values), "<u4")
-        each = size[index]
-        reach = np.cumsum(each, dtype=np.int32)
-        total = int(reach[-1])
-        raw = ids[np.repeat(at[index] - (reach - each), each) + np.arange(total, dtype=np.int32)].tobytes() if total else b""
-        stops = (4 * reach[ends - 1].astype(np.int64)).tolist()
+        places, ends, whole = self._look_up(texts)
+        size = (places & 0xFFFFFFFF).astype(np.int32)
+        raw = self.young.ids[spans(places >> 32, size)].tobytes()
+        stops = (4 * np.cumsum(size, dtype=np.int64)[ends - 1]).tolist()
         out = [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
-        if odd.any():
-            for k in np.flatnonzero(np.logical_or.reduceat(odd[index], starts)).tolist():
-                out[k] = self.whole(texts[k].as_py())
+        for k in np.flatnonzero(whole).tolist():
+            out[k] = self.whole(texts[k].as_py())
+        return out
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        if not len(texts):
+            return np.empty(0, np.int64)
+        places, ends, whole = self._look_up(texts)
+        out = np.diff(np.concatenate([[0], np.cumsum(places & 0xFFFFFFFF)[ends - 1]]))
+        for k in np.flatnonzero(whole).tolist():
+            out[k] = len(self.whole(texts[k].as_py())) // 4
         return out
 
 
@@ -165,10 +232,11 @@ class LooseUnitTable(UnitTable):
 
     LINE = " "
 
-    def _learn_rest(self, new: set[str]) -> None:
-        units = list(new)
-        self.rest.update(zip(units, self.encode_units(units), strict=True))
-        self.chars += sum(map(len, units))
+    def _heads(self, words: list[str], index: np.ndarray, starts: np.ndarray) -> None:
+        pass
+
+    def _odd(self, key: str) -> bool:
+        return False
 
-    def _heads(self, words: list[str], index: np.ndarray, starts: np.ndarray) -> list[bytes | int]:
-        return []
+    def _unit(self, key: str) -> str:
+        return key

@@ -2,12 +2,13 @@
 
 Documents are brought in ascending id order by a range exchange, encoded, and cut in
 shards of bounded size. In a shard, frequent id pairs are replaced by nonterminals,
-round after round: a round counts all pairs by arrays, gives every pair that occurs
-often enough a nonterminal, and where two replacements overlap lets the more frequent
-pair win. Pairs that share a bucket wait for a later round. Rounds end when no pair is
-replaced LEAST times, or after the first one that saves less than the share GAIN of the
-sequence, so pairs worth less than that in a round can stay unreplaced. A shard stores its rules, the expansion length of each nonterminal and the
-documents' lengths, so one document can be decoded without the rest.
+round after round: a round gives every pair that occurs often enough a nonterminal, and
+where two replacements overlap lets the more frequent pair win. The first rounds count
+all pairs of the sequence; the others keep a chain of symbols and count exactly the
+places of frequent pairs and those next to a replacement. Rounds end when no pair
+occurs LEAST times without overlap. A shard stores its rules, the expansion length of
+each nonterminal and the documents' lengths, so one document can be decoded without
+the rest.
 
 A file is a Parquet file of the shared folder whose rows are shards, so Spark's
 committer makes a retried task's output whole, wherever the folder lies.
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,47 +41,47 @@ MAGIC = b"VTLREP01"
 HEAD = struct.Struct("<8s5Q")
 #: ids in a shard; a longer document has a shard of its own
 SHARD_IDS = 2 << 20
-#: a pair needs so many replacements in a round to become a rule
+#: a pair that occurs so often without overlap becomes a rule
 LEAST = 8
-#: rounds end when one shortens the sequence by less than this share
-GAIN = 0.02
-#: pairs are counted in 2 ** BITS buckets a round
+#: whole-sequence rounds hand over to incremental ones when a round shortens the sequence by less than this share
+HAND_OVER = 0.02
+#: pairs are counted in 2 ** BITS buckets a whole-sequence round
 BITS = 18
 
 SHARDS = "shard int, block int, n_ids long, n_docs long, payload binary"
 
 
-def compress(ids: np.ndarray, least: int = LEAST, gain: float = GAIN) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(symbols, left, right, first_free): nonterminal first_free + k stands for left[k], right[k]."""
-    current = np.asarray(ids, np.uint32)
-    first_free = int(current.max()) + 1 if len(current) else 0
-    lefts: list[np.ndarray] = []
-    rights: list[np.ndarray] = []
-    free, turn = first_free, 0
-    bits = BITS
+def _winners(rank: np.ndarray, before: np.ndarray, after: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    """Which places are replaced: no neighbour ranks higher, and every second one of equal neighbours."""
+    return (rank > 0) & (rank >= before) & (rank >= after) & ~odd
+
+
+def _whole_rounds(current: np.ndarray, free: int, least: int, lefts: list[np.ndarray], rights: list[np.ndarray]) -> np.ndarray:
+    """Rounds over the whole sequence, as long as one saves HAND_OVER of it; pairs that share a bucket wait."""
+    turn = 0
     while len(current) > 2 * least:
         turn += 1
-        # each pair's bucket; a bucket stands for its last pair, others in it have their turn in a later round if there is one
+        # each pair's bucket; a bucket stands for its last pair, others in it have their turn later
         pair = current[:-1].astype(np.uint64) << np.uint64(32) | current[1:]
         salt = np.uint64((0x9E3779B97F4A7C15 * (2 * turn + 1)) & 0xFFFFFFFFFFFFFFFF)
-        bucket = (pair * salt >> np.uint64(64 - bits)).view(np.int64)
-        stands = np.zeros(1 << bits, np.uint64)
+        bucket = (pair * salt >> np.uint64(64 - BITS)).view(np.int64)
+        stands = np.zeros(1 << BITS, np.uint64)
         stands[bucket] = pair
         same = stands[bucket] == pair
-        count = np.bincount(bucket[same], minlength=1 << bits).astype(np.int32)
+        count = np.bincount(bucket[same], minlength=1 << BITS).astype(np.int32)
         count[count < least] = 0
         weight = np.zeros(len(pair) + 2, np.int32)
         np.multiply(count[bucket], same, out=weight[1:-1])
         middle = weight[1:-1]
         at = np.flatnonzero((middle > weight[:-2]) & (middle >= weight[2:]))
         which = bucket[at]
-        often = np.bincount(which, minlength=1 << bits) >= least
+        often = np.bincount(which, minlength=1 << BITS) >= least
         good = often[which]
         at, which = at[good], which[good]
         if not len(at):
             break
         rules = np.flatnonzero(often)
-        number = np.zeros(1 << bits, np.uint32)
+        number = np.zeros(1 << BITS, np.uint32)
         number[rules] = np.arange(free, free + len(rules), dtype=np.uint32)
         lefts.append((stands[rules] >> np.uint64(32)).astype(np.uint32))
         rights.append(stands[rules].astype(np.uint32))
@@ -91,8 +92,87 @@ def compress(ids: np.ndarray, least: int = LEAST, gain: float = GAIN) -> tuple[n
         keep[at + 1] = False
         saved, before = len(at) - 2 * len(rules), len(current)
         current = shorter[keep]
-        if saved < gain * before:
+        if saved < HAND_OVER * before:
             break
+    return current
+
+
+def _incremental_rounds(current: np.ndarray, free: int, least: int, lefts: list[np.ndarray], rights: list[np.ndarray]) -> np.ndarray:
+    """Rounds over a chain of symbols that only look at places of frequent pairs, until no pair occurs ``least`` times.
+
+    A round's nonterminals are new, so a pair that was rare in some round never becomes
+    frequent again: later rounds need the frequent pairs' places and those next to a
+    replacement, nothing else.
+    """
+    n = len(current)
+    if n < 2:
+        return current
+    symbols = np.append(current, np.uint32(0)).astype(np.uint64)  # place n is the end
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    before[0] = n
+    alive = np.ones(n + 1, bool)
+    rank = np.zeros(n + 1, np.int32)
+    pair = symbols[: n - 1] << np.uint64(32) | symbols[1:n]
+    bucket = (pair * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).view(np.int64)
+    places = np.flatnonzero((np.bincount(bucket, minlength=1 << 20) >= least)[bucket]).astype(np.int32)
+    del pair, bucket
+    while len(places):
+        follower = after[places]
+        pair = symbols[places] << np.uint64(32) | symbols[follower]
+        order = np.argsort(pair, kind="stable")
+        ranked = pair[order]
+        new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        of = np.empty(len(places), np.int32)
+        of[order] = np.cumsum(new) - 1
+        # in a run of one symbol every second place counts
+        tied = np.concatenate([[False], (of[1:] == of[:-1]) & (follower[:-1] == places[1:])])
+        index = np.arange(len(places))
+        odd = (index - np.maximum.accumulate(np.where(tied, 0, index))) % 2 == 1
+        count = np.bincount(of[~odd], minlength=int(new.sum()))
+        often = count >= least
+        if not often.any():
+            break
+        # frequent pairs by count and then by their symbols, from 1 on
+        grade = np.zeros(len(count), np.int32)
+        grade[np.flatnonzero(often)[np.argsort(count[often], kind="stable")]] = np.arange(1, int(often.sum()) + 1)
+        keep = often[of]
+        places, follower, of, odd, pair = places[keep], follower[keep], of[keep], odd[keep], pair[keep]
+        rank[places] = grade[of]
+        won = _winners(rank[places], rank[before[places]], rank[follower], odd)
+        enough = np.bincount(of[won], minlength=len(count)) >= least
+        won &= enough[of]
+        rank[places] = 0
+        rules = np.flatnonzero(enough)
+        number = np.zeros(len(count), np.uint64)
+        number[rules] = np.arange(free, free + len(rules), dtype=np.uint64)
+        distinct = ranked[new][rules]
+        lefts.append((distinct >> np.uint64(32)).astype(np.uint32))
+        rights.append(distinct.astype(np.uint32))
+        free += len(rules)
+        at, gone = places[won], follower[won]
+        symbols[at] = number[of[won]]
+        alive[gone] = False
+        beyond = after[gone]
+        after[at], before[beyond] = beyond, at
+        before[n] = n
+        touched = np.concatenate([places[~won], at, before[at]])
+        touched = touched[alive[touched]]
+        touched = touched[(touched < n) & (after[touched] < n)]
+        places = np.unique(touched)
+    return symbols[:n][alive[:n]].astype(np.uint32)
+
+
+def compress(ids: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(symbols, left, right, first_free): nonterminal first_free + k stands for left[k], right[k].
+
+    No pair of the symbols occurs ``least`` times or more without overlap.
+    """
+    current = np.asarray(ids, np.uint32)
+    first_free = int(current.max()) + 1 if len(current) else 0
+    lefts: list[np.ndarray] = []
+    rights: list[np.ndarray] = []
+    current = _whole_rounds(current, first_free, least, lefts, rights)
+    current = _incremental_rounds(current, first_free + sum(map(len, lefts)), least, lefts, rights)
     none = np.empty(0, np.uint32)
     return current, np.concatenate([none, *lefts]), np.concatenate([none, *rights]), first_free
 
@@ -222,8 +302,8 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id
     ordered.mapInArrow(run, SHARDS).write.parquet(path)
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, block, position, doc_id, local_start, ids binary) of every document, decoded from the files."""
+def _read(spark: SparkSession, path: str, columns: Callable[[bytes, list[int], list[int]], dict[str, pa.Array]], kinds: str) -> DataFrame:
+    """(shard, block, position, doc_id, local_start) of every document and what ``columns`` makes of a shard's ids and some documents' starts and ends in bytes."""
     bound_arrow(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,16 +315,35 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 n = len(ends)
                 for i in range(0, n, 256):
                     j = min(n, i + 256)
-                    starts = [0, *ends][i:j]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([shard] * (j - i), pa.int32()), pa.array([block] * (j - i), pa.int32()), pa.array(range(i, j), pa.int32()),
-                        pa.array(x.doc_id[i:j], mask=x.is_null[i:j].astype(bool)), pa.array([s // 4 for s in starts], pa.int64()),
-                        pa.array([raw[s:e] for s, e in zip(starts, ends[i:j], strict=True)], pa.binary()),
-                    ], names=["shard", "block", "position", "doc_id", "local_start", "ids"])
+                    first, last = [0, *ends][i:j], ends[i:j]
+                    fixed = {
+                        "shard": pa.array([shard] * (j - i), pa.int32()), "block": pa.array([block] * (j - i), pa.int32()), "position": pa.array(range(i, j), pa.int32()),
+                        "doc_id": pa.array(x.doc_id[i:j], mask=x.is_null[i:j].astype(bool)), "local_start": pa.array([s // 4 for s in first], pa.int64()),
+                    }
+                    yield pa.RecordBatch.from_pydict(fixed | columns(raw, first, last))
 
     stored = spark.read.schema(SHARDS).parquet(path)
-    # a shard holds millions of ids: hand them to Python one by one
-    return stored.select("shard", "block", "payload").mapInArrow(run, "shard int, block int, position int, doc_id long, local_start long, ids binary")
+    return stored.select("shard", "block", "payload").mapInArrow(run, "shard int, block int, position int, doc_id long, local_start long, " + kinds)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, block, position, doc_id, local_start, ids binary) of every document, decoded from the files."""
+
+    def ids(raw: bytes, first: list[int], last: list[int]) -> dict[str, pa.Array]:
+        return {"ids": pa.array([raw[s:e] for s, e in zip(first, last, strict=True)], pa.binary())}
+
+    return _read(spark, path, ids, "ids binary")
+
+
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, block, position, doc_id, local_start, n_tokens, ids_crc32) of every document: the decoded ids stay in the workers."""
+
+    def sums(raw: bytes, first: list[int], last: list[int]) -> dict[str, pa.Array]:
+        view = memoryview(raw)
+        spans = list(zip(first, last, strict=True))
+        return {"n_tokens": pa.array([(e - s) // 4 for s, e in spans], pa.int64()), "ids_crc32": pa.array([zlib.crc32(view[s:e]) for s, e in spans], pa.int64())}
+
+    return _read(spark, path, sums, "n_tokens long, ids_crc32 long")
 
 
 def starts(spark: SparkSession, path: str) -> DataFrame:
@@ -265,8 +364,7 @@ def round_trip(df: DataFrame, tokenizer_file: str, end_id: int = 1, id_col: str
     spark = df.sparkSession
     path = path or shared_folder(spark, "ids")
     write_ids(df, path, tokenizer_file, end_id, id_col, text_col)
-    documents = read_documents(spark, path).select("shard", "block", "doc_id", "local_start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
-    return documents.join(starts(spark, path), ["shard", "block"]).select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+    return read_checksums(spark, path).join(starts(spark, path), ["shard", "block"]).select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def checksum(ids: np.ndarray) -> int:

@@ -9,22 +9,25 @@ uncertain go to the library whole.
 from __future__ import annotations
 
 import gc
+import itertools
 import json
 import os
 import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LooseUnitTable, UnitTable, file_bytes, text_arrays, texts_of
+from .common import LooseUnitTable, UnitTable, file_bytes, spans, text_arrays, texts_of
 
 
-#: Letters of the Latin-1 range with at most one sign after them: one word piece and one sign piece
-#: for any pattern that parts letters from signs, and unchanged by NFC.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)").fullmatch
+#: Letters of the Latin-1 range, and ASCII signs but the apostrophe. Letters with such signs after them are
+#: one word piece and one sign piece for any pattern that parts letters from signs, and unchanged by NFC.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_letters() -> dict[int, str]:
@@ -37,8 +40,8 @@ def byte_letters() -> dict[int, str]:
 class LibraryEncoder:
     """Texts to little-endian 32-bit ids by a tokenizer file's content.
 
-    Plain units go to the library's BPE model directly, which is what its pipeline
-    does with them in the end; all others through the whole pipeline.
+    Plain words go to the library's BPE model directly, which is what its pipeline
+    does with them in the end; signs and all other units through the whole pipeline.
     """
 
     def __init__(self, content: bytes):
@@ -51,57 +54,81 @@ class LibraryEncoder:
         pre, model = said.get("pre_tokenizer") or {}, said["model"]
         steps = pre.get("pretokenizers", [pre])
         normal = said.get("normalizer") or {}
-        self.lower = False
-        self.lead: dict[str, str] | None = None
+        self.lower = self.direct = False
         self.model = self.tokenizer.model.tokenize
         self.letters = byte_letters()
-        self.signs: dict[str, bytes] = {}
         whole_words = model.get("type") == "BPE" and not model.get("dropout") and not said.get("post_processor")
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not normal:
             self.table = UnitTable(self._units, self._whole)
-            if whole_words:
-                self.lead = {" ": self.letters[32], "\n": ""}
+            self.direct = whole_words
         elif any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert") for s in steps):
             self.table = LooseUnitTable(self._units, self._whole)
             kinds = [n.get("type") for n in normal.get("normalizers", [])]
             if whole_words and [s.get("type") for s in steps] == ["Split", "ByteLevel"] and kinds == ["NFC", "Replace", "Lowercase"] and "[\\p{L}]+" in steps[0]["pattern"]["Regex"]:
-                self.lead, self.lower = {}, True
+                self.direct = self.lower = True
         else:
             self.table = None
-        self.newline = self._whole("\n")
-
-    def _plain(self, unit: str, memo: dict[str, bytes]) -> bytes | None:
-        """A plain unit's ids, None for any other. A word met before, with another sign or none, is not encoded again."""
-        lead = unit[:1] if unit[:1] in self.lead else ""
-        found = PLAIN(unit, len(lead))
-        if not found:
-            return None
-        word, sign = found.groups()
-        if self.lower:
-            word = word.lower()
-        key = lead + word
-        got = memo.get(key) or (self.table.rest.get(word) if lead == " " or self.lower else None)
-        if not got:
-            spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            got = array("I", [t.id for t in self.model(self.lead[lead] + spelt if lead else spelt)]).tobytes()
-            if lead == "\n":
-                got = self.newline + got
-            memo[key] = got
-        if not sign:
-            return got
-        if sign not in self.signs:
-            self.signs[sign] = array("I", [t.id for t in self.model(sign)]).tobytes()
-        return got + self.signs[sign]
-
-    def _units(self, units: list[str]) -> list[bytes]:
-        memo: dict[str, bytes] = {}
-        out: list[bytes | None] = [None] * len(units) if self.lead is None else [self._plain(u, memo) for u in units]
-        rest = [k for k, x in enumerate(out) if x is None]
-        for i in range(0, len(rest), 4096):
-            part = rest[i : i + 4096]
-            for k, e in zip(part, self.tokenizer.encode_batch_fast([units[k] for k in part], add_special_tokens=False), strict=True):
-                out[k] = array("I", e.ids).tobytes()
-        return out
+
+    def _model(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of word pieces by the library's model alone, and how many each has. A blank before a word is part of it."""
+        blank, model = self.letters[32], self.model
+        spelt = [w.replace(" ", blank) if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in words]
+        got = [[t.id for t in model(w)] for w in spelt]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(size.sum())), size
+
+    def _library(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the library's whole pipeline."""
+        got = [e.ids for i in range(0, len(units), 4096) for e in self.tokenizer.encode_batch_fast(units[i : i + 4096], add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(size.sum())), size
+
+    def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All units' ids in one array, and how many each has. A unit is a line feed or nothing, a word, and signs or nothing."""
+        if not self.direct:
+            return self._library(units)
+        number: dict[str, int] = {}  # distinct words
+        other: dict[str, int] = {}  # units that aren't of this form
+        signs: dict[str, int] = {"": 0}
+        feeds, of_word, of_sign = bytearray(len(units)), array("q"), array("q")  # of_word is -1 - place in other
+        for k, unit in enumerate(units):
+            word = unit.rstrip(SIGNS)
+            n = len(word)
+            if word[:1] == "\n":
+                word = word[1:]
+                feeds[k] = 1
+            bare = word[1:] if word[:1] == " " else word
+            if bare.isalpha() and (bare.isascii() or LATIN(bare)):
+                if self.lower:
+                    word = word.lower()
+                of_word.append(number.setdefault(word, len(number)))
+                of_sign.append(signs.setdefault(unit[n:], len(signs)) if n < len(unit) else 0)
+            else:
+                of_word.append(-1 - other.setdefault(unit, len(other)))
+                of_sign.append(0)
+                feeds[k] = 0
+        feed, word, sign = np.frombuffer(feeds, np.uint8), np.frombuffer(of_word, np.int64), np.frombuffer(of_sign, np.int64)
+        words = list(number)
+        ids, size = [], np.zeros(len(words), np.int64)
+        order = np.arange(len(words))
+        if words:
+            # a word met before without these signs is not encoded again
+            keys = words if self.lower else [w[1:] if w[0] == " " else "\n\n" for w in words]
+            there, got, size[there] = self.table.known(keys)
+            new = np.setdiff1d(order, there, assume_unique=True)
+            made, size[new] = self._model([words[k] for k in new.tolist()])
+            ids, order = [got, made], np.concatenate([there, new])
+        for more in (list(other), list(signs)[1:], ["\n"] if feed.any() else []):
+            got, n = self._library(more)
+            ids.append(got)
+            order, size = np.concatenate([order, len(size) + np.arange(len(n))]), np.concatenate([size, n])
+        size = np.append(size, 0)  # the last piece stands for nothing
+        at = np.zeros(len(size), np.int64)
+        at[order] = np.cumsum(size[order]) - size[order]
+        nothing = len(size) - 1
+        first_sign = len(words) + len(other) - 1
+        piece = np.stack([np.where(feed, nothing - 1, nothing), np.where(word < 0, len(words) - 1 - word, word), np.where(sign, first_sign + sign, nothing)], 1)
+        return np.concatenate(ids)[spans(at[piece].ravel(), size[piece].ravel())], size[piece].sum(1)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -109,7 +136,14 @@ class LibraryEncoder:
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         if self.table:
             return self.table.encode(texts)
-        return self._units(texts.to_pylist() if isinstance(texts, pa.Array) else texts)
+        ids, size = self._library(texts.to_pylist() if isinstance(texts, pa.Array) else texts)
+        return [x.astype("<u4").tobytes() for x in np.split(ids, np.cumsum(size)[:-1])] if len(size) else []
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        if self.table:
+            return self.table.counts(texts)
+        return np.array([len(x) // 4 for x in self.encode(texts)], np.int64)
 
 
 _ENCODERS: dict[int, LibraryEncoder] = {}
@@ -132,7 +166,7 @@ def token_counts(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(content.value)
         for part, texts in text_arrays(batches):
-            counts = [len(x) // 4 for x in encoder.encode(texts)]
+            counts = encoder.counts(texts)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64())], names=["doc_id", "n_tokens"])
 
     return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long")
