@@ -1,3 +1,8 @@
+import random
+import re
+import time
+
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,6 +60,53 @@ def test_hidden_goes(attributes):
     assert html.main_text(f"<article><p>{LONG}</p><div {attributes}><p>x</p></div></article>") == LONG
 
 
+def plainly(page):
+    """The curve over the page's lines by sums written out: where it surges, and how far it goes from there."""
+    lines = html.lines_of(page)
+    inside = [x for _, _, x in lines]
+    weight = [max(0, len(t) - 2 * n) + (0 if not any(inside) else html.SURGE if x else -html.OUTSIDE) for t, n, x in lines]
+    window = lambda i: sum(weight[i : i + html.WINDOW])
+    kept = set()
+    for i, w in enumerate(weight):
+        if i in kept or not (w >= html.SURGE or w > 0 and window(i) >= html.SURGE and all(window(j) > 0 for j in range(i, min(len(lines), i + html.WINDOW)))):
+            continue
+        j = i
+        while j - 1 >= 0 and j - 1 not in kept and weight[j - 1] > 0:
+            j -= 1
+        k = i
+        while k < len(lines) and weight[k] >= 0 and (weight[k] > 0 or window(k) > 0):
+            k += 1
+        kept.update(range(j, k))
+    return "\n".join(t for i, (t, n, _) in enumerate(lines) if i in kept or not kept and 2 * n < len(t))
+
+
+def test_the_curve_decides(sf):
+    pages = pq.read_table(f"{sf}/pages.parquet", columns=["html"])["html"].to_pylist()
+    rng = random.Random(4)
+    blocks = [f"<p>{LONG}</p>", "<p>Short.</p>", "<p><a href=a>Some link text here</a></p>", "<h2>Head</h2>", "<article>", "</article>", "<ul><li><a href=b>One</a> of two</ul>", f"<p>{LONG * 20}</p>"]
+    made = ["".join(rng.choice(blocks) for _ in range(rng.randint(0, 25))) for _ in range(400)]
+    for page in [*filter(None, pages), *made]:
+        assert html.main_text(page) == plainly(page)
+    # without its region, every page of the table gives the same text: the curve alone finds it
+    for page in filter(None, pages):
+        assert html.main_text(re.sub("</?article>", "", page)) == html.main_text(page)
+
+
+def test_regions_weigh_but_long_text_outside_surges():
+    links = "<p><a href=a>Home and more</a></p>" * 3
+    teaser, story = "<article><p>Read more.</p></article>", "".join(f"<p>{LONG * 12}</p>" for _ in range(4))
+    text = "\n".join([LONG * 12] * 4)
+    assert len(LONG) * 12 >= html.OUTSIDE + html.SURGE
+    assert html.main_text(f"{teaser}{links}<div>{story}</div>{links}<p>Imprint of the house</p>") == "Read more.\n" + text
+
+
+@pytest.mark.parametrize("part", ['<a href="x ', "<title ", "<title>", "<nav><article>", "<!-- ", "<!--", '<a b="x> ', "<p>a<textarea>", "<div class=ad><article></article>", "<"])
+def test_broken_markup_takes_linear_time(part):
+    began = time.process_time()
+    html.main_text(part * 60_000)
+    assert time.process_time() - began < 5
+
+
 def test_short_declared_regions_are_whole():
     assert html.main_text("<article><h1>Head</h1><p>One.</p></article><p>Copyright by us</p>") == "Head\nOne."
     assert html.main_text(f"<article><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article><p>x</p><article><p>Short.</p></article><p>y</p>") == f"{LONG}\n{LONG}\n{LONG}\nShort."

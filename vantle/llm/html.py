@@ -5,16 +5,19 @@ Markup is stripped into lines, one a block element, and what page furniture encl
 Elements are furniture by their name or by whole tokens of their class, id or role; an
 article is so only as a reader's comment, and a wrapper known by its tokens, or a form,
 gives way to an article or main region inside it.
-If the page declares an article or main region, all of its remaining lines are the main
-text. Else each line weighs its characters outside links, and weights are summed over
-sliding windows of lines. The curve surges where a line's weight reaches the threshold,
-or a window's sum does and the following ones stay above zero, and dives where it falls
-to zero; the text between the two points is kept, every line of it, and so are the
-lines with weight that adjoin it before.
+Every line weighs its characters outside links. Where the page declares an article or
+main region, a line inside weighs SURGE more and one outside OUTSIDE less, so a region
+bends the curve but doesn't replace it: an undeclared stretch of text that is long
+enough still surges. Weights are summed over sliding windows of lines. The curve surges
+where a line's weight reaches SURGE, or a window's sum does and the following ones stay
+above zero; it dives where a window's sum falls to zero or a line's weight below it. The
+text between the two points is kept, every line of it, and so are the lines with weight
+that adjoin it before.
 
 Defined results: null html counts as empty; a page without a surge gives its lines
 that aren't mostly links, an empty page the empty text; unclosed or broken markup is
-read as far as it goes; equal rows give equal rows; extra columns are ignored.
+read as far as it goes, in time proportional to the page; equal rows give equal rows;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import bound_arrow, text_batches
 
 WINDOW, SURGE = 3, 80
+#: what a line outside all declared regions weighs less: beyond this many characters it can surge
+OUTSIDE = 1000
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset"
@@ -111,6 +116,15 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     met = False
     link = 0
     at = 0
+    # behind the last > no tag can end, so nothing is searched there; nor is an end tag that isn't there, twice
+    edge = page.rfind(">") + 1
+    unclosed: set[str] = set()
+    last_close: dict[str, int] = {}
+
+    def closed_later(name: str) -> bool:
+        if name not in last_close:
+            last_close[name] = max((m.start() for m in re.finditer(rf"</{name}\b", page, re.I)), default=-1)
+        return last_close[name] >= at
 
     def end_line() -> None:
         nonlocal linked
@@ -129,22 +143,27 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 linked += len(" ".join(raw.split()))
 
     while True:
-        tag = TAG.search(page, at)
+        tag = TAG.search(page, at, edge) if at < edge else None
         if not tag:
-            add(page[at:])
+            comment = page.find("<!--", max(at, edge))
+            add(page[at:] if comment < 0 else page[at:comment])
             break
         add(page[at : tag.start()])
         at = tag.end()
+        if at == edge and page.startswith("<!--", tag.start()) and not page.startswith("-->", edge - 3):
+            break  # a comment that is never closed
         name = (tag[2] or tag[5] or "").lower()
         if not name:
             continue
         closing, attributes = bool(tag[1] or tag[4]), tag[3] or tag[6] or ""
         if not closing and name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            end = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at, edge)
             if end:
                 at = end.end()
             elif name in ("script", "style"):
-                at = len(page)
+                break
+            else:
+                unclosed.add(name)
             continue
         named = {} if closing else _attributes(attributes)
         why = "" if closing or name in VOID or attributes.endswith("/") else _furniture(name, named, bool(main))
@@ -152,7 +171,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             end_line()
             # furniture that was never closed, or is a wrapper known by its words only, ends where the article begins;
             # what readers wrote does so at a main region, or if the page had no article before
-            if skip_name and (name == "main" or skip_name == "form" or skip_why == "words" or skip_why == "readers" and not met or not _closed_later(page, at, skip_name)):
+            if skip_name and (name == "main" or skip_name == "form" or skip_why == "words" or skip_why == "readers" and not met or not closed_later(skip_name)):
                 skip_name, skip_depth = "", 0
             if not skip_name:
                 met = True
@@ -184,18 +203,13 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
-def _closed_later(page: str, at: int, name: str) -> bool:
-    return re.compile(rf"</{name}\b", re.I).search(page, at) is not None
-
-
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     """The page's main text, its blocks joined by line feeds."""
     lines = lines_of(page)
     if not lines:
         return ""
-    if any(inside for _, _, inside in lines):
-        return "\n".join(t for t, _, inside in lines if inside)
-    weight = [max(0, len(t) - 2 * linked) for t, linked, _ in lines]
+    declared = any(inside for _, _, inside in lines)
+    weight = [max(0, len(t) - 2 * linked) + (0 if not declared else surge if inside else -OUTSIDE) for t, linked, inside in lines]
     n = len(lines)
     ends = [0]
     for w in weight:
@@ -204,12 +218,12 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     kept = [False] * n
     i = 0
     while i < n:
-        if weight[i] >= surge or weight[i] and block[i] >= surge and all(block[i : i + window]):
+        if weight[i] >= surge or weight[i] > 0 and block[i] >= surge and min(block[i : i + window]) > 0:
             j = i
-            while j and weight[j - 1] and not kept[j - 1]:
+            while j and weight[j - 1] > 0 and not kept[j - 1]:
                 j -= 1
             kept[j:i] = [True] * (i - j)
-            while i < n and block[i]:
+            while i < n and weight[i] >= 0 and (block[i] > 0 or weight[i] > 0):
                 kept[i] = True
                 i += 1
         else:
