@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vantle.llm import graph, knn, minhash, queries, rules
@@ -91,12 +92,52 @@ def test_large_cluster_is_chunked(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in brute(rows, 2).items()}
 
 
-def test_leads_of_a_crowded_region_all_meet(monkeypatch):
-    monkeypatch.setattr(minhash, "REGION", 8)
-    sketches = np.random.default_rng(9).integers(0, 256, (100, minhash.SKETCH), np.uint8)
-    sketches[97] = sketches[2]  # far apart in the order, in different pieces and blocks
-    found = {(int(a), int(b)) for a, close in minhash._region([b"k" * 29] * 100, np.arange(100), sketches, 40, minhash.LEAST_DEPTH) for b in close}
-    assert found == {(2, 97)}
+def groups_of(n, links):
+    parent = list(range(n))
+    for a, b in links:
+        x, y = parent[a], parent[b]
+        parent = [min(x, y) if p in (x, y) else p for p in parent]
+    return parent
+
+
+def test_ties_make_the_groups_of_all_near_pairs():
+    rng = np.random.default_rng(11)
+    bases = rng.integers(0, 256, (12, minhash.SKETCH), np.uint8)
+    sketches = bases[rng.integers(0, 12, 300)]
+    sketches = np.where(rng.random(sketches.shape) < rng.choice([0.1, 0.3, 0.4], (300, 1)), rng.integers(0, 256, sketches.shape, np.uint8), sketches)
+    every = [(i, j) for i in range(300) for j in range(i) if (sketches[i] == sketches[j]).sum() >= 40]
+    links, group = minhash._ties(sketches, 40)
+    found = [(int(a), int(b)) for x in links for a, b in x.T]
+    assert {(max(x), min(x)) for x in found} <= set(every) and groups_of(300, found) == groups_of(300, every) and len(found) < 300
+    assert [groups_of(300, every)[i] == groups_of(300, every)[j] for i, j in zip(range(299), range(1, 300), strict=True)] == (group[:-1] == group[1:]).tolist()
+    assert minhash._ties(sketches[:0], 40)[0] == [] and minhash._ties(sketches[:1], 40)[0] == []
+
+
+@pytest.mark.parametrize("region", [8, 2048])
+def test_documents_of_a_crowded_region_all_meet(monkeypatch, region):
+    monkeypatch.setattr(minhash, "REGION", region)
+    n = 6000
+    rng = np.random.default_rng(9)
+    sketches = rng.integers(0, 256, (n, minhash.SKETCH), np.uint8)
+    sketches[5000] = sketches[10]  # far apart in the order, in different pieces
+    sketches[5000, :8] += 1
+    keys = sorted(b"kkkk" * 4 + b"k" + bytes(x) for x in rng.integers(0, 3, (n, 12), np.uint8))
+    links, _ = minhash._region(keys, sketches, 40, minhash.LEAST_DEPTH)
+    assert {tuple(sorted(x)) for part in links for x in part.T.tolist()} == {(10, 5000)}
+
+
+@pytest.mark.parametrize("names", [["my col", "a-b", "a.b", "row", "print", "_gone", "component", "least"]])
+def test_stages_keep_odd_columns(spark, sf, names):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    wide = docs.selectExpr("*", *(f"struct(doc_id as `x y`, array(text) as `p-q`) as `{n}`" for n in names), "cast(null as int) as `n_words`")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, wide, sf)
+        if k < 3:
+            assert out.schema.simpleString() == wide.schema.simpleString()
+            assert all(r["my col"]["x y"] == r["doc_id"] and r["my col"]["p-q"] == [r["text"]] for r in out.collect())
+        assert out.select("doc_id").distinct().count() <= 60
+    again = minhash.one_of_each(wide.unionByName(wide.withColumn("text", F.lit("other words than before"))), 2)
+    assert again.columns == wide.columns and again.count() == minhash.one_of_each(docs, 2).count() + 1
 
 
 def test_repeated_ids_with_different_texts(spark):

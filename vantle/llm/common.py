@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shared_folder, written  # noqa: F401  used by the operators
 
@@ -59,14 +60,13 @@ def keep_rows(df: DataFrame, decide: Callable[[list[str]], list[bool]], text_col
     """
     bound_arrow(df.sparkSession)
     rows = df.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind = df.schema.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_batches(batches):
             kept = part.filter(pa.array(decide(texts), pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0)], names=["row"])
 
-    return rows.mapInArrow(run, f"row {kind}").select("row.*")
+    return rows.mapInArrow(run, T.StructType([T.StructField("row", df.schema)])).select("row.*")
 
 
 def file_bytes(path: str) -> bytes:

@@ -3,7 +3,9 @@
 Each step replaces every vertex's links by links to the least vertex it knows, so
 stars grow until every component is one star around its least member. A step is an
 aggregation with map-side partial minima and a join, never a group in memory; its
-edges are written to the shared folder, so lineage stays short.
+edges are written to the shared folder, so lineage stays short. The joins are sort-merge
+joins at every size: adaptive execution splits the rows of a hub, the centre of a very
+large star, over several tasks there.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").filter("u <> v").distinct()
+        small = large.join(low.hint("merge"), "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").filter("u <> v").distinct()
         e = written(small, "edges")
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v") % 1_000_003)).first()
         if now == seen:

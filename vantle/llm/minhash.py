@@ -6,9 +6,10 @@
 2. The forest: each tree orders the representatives by its own signature values.
    Range partitions hold a tree's order piecewise, so a region of many documents is
    spread over tasks. Neighbours that share the least prefix form a region; a region
-   too crowded to compare is cut by longer prefixes. In a region, documents are linked
-   as candidates to the first one whose sketch is near theirs. What a partition border
-   cuts apart is compared again through the pieces' first documents.
+   too crowded to compare is cut by longer prefixes. In a region or its pieces, documents
+   are tied as candidates wherever two groups have documents with near sketches. What a
+   cut or a partition border keeps apart is compared again through the first documents
+   of the pieces' groups.
 3. Candidate links form clusters. The members' texts are brought together in chunks of
    bounded size and compared exactly, by an inverted index over full sets, until the
    chunk is one group or every pair of groups is compared. Large clusters have several
@@ -17,16 +18,13 @@
 4. Confirmed links give connected components.
 
 Nothing is capped: crowded regions are cut deeper and large clusters are chunked; the
-first documents of all pieces of a region are compared with each other, and so are the
+first documents of all pieces' groups are compared with each other, and so are the
 chunks' groups. What is missed, for two documents at similarity exactly 0.8, less above:
 
 * they share no prefix in any of the 16 trees: 0.0002 with prefix 4; where they are in
-  different pieces of a crowded region, up to 0.023 with prefix 7;
-* their sketches, the same in every tree, agree in fewer than 40 of 64 values: 0.0004;
-* a document near an earlier first one of its region isn't compared with the rest of it,
-  and in a crowded region only the pieces' first documents meet. Such a pair is tied
-  if first documents tie it, there or in another tree; how often they don't depends on
-  the other documents, so there is no figure for it.
+  different pieces of a region of over 2,048 texts that first documents don't tie, up to
+  0.023 with prefix 7;
+* their sketches, the same in every tree, agree in fewer than 40 of 64 values: 0.0004.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]`` of the text with A-Z in lower case. Defined
 results: a text with fewer words than a shingle is one shingle of all its words; one
@@ -44,6 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.lags import row_ids
 from .common import text_batches, texts_of, written
@@ -114,43 +113,62 @@ def _printed(df: DataFrame, size: int, text_col: str = "text") -> DataFrame:
             sets = (shingle_set(t, size) for t in texts)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())], names=["row", "print"])
 
-    return rows.mapInArrow(run, f"row {df.schema.simpleString()}, print binary")
+    return rows.mapInArrow(run, T.StructType([T.StructField("row", df.schema), T.StructField("print", T.BinaryType())]))
 
 
 PREFIX = 1 + 4 * LEAST_DEPTH
 ROWS = "a long, b long, prefix binary, sketch binary"
 
 
-def _stars(ids: np.ndarray, sketches: np.ndarray, near: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(first document, those near it), each document in at most one star."""
-    rest = np.arange(len(ids))
+def _ties(sketches: np.ndarray, near: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(pairs of rows as [a, b] arrays, group of each row): links that make the groups all near pairs would make.
+
+    First documents gather those near them; then every row outside the largest group is
+    compared with all rows of other groups, so no near pair of two groups is missed.
+    """
+    n = len(sketches)
+    group = np.arange(n)
+    rest = np.arange(n)
+    links = []
     while len(rest):
         lead, rest = rest[0], rest[1:]
-        close = (sketches[rest] == sketches[lead]).sum(1) >= near if len(rest) else np.empty(0, bool)
-        yield lead, rest[close]
-        rest = rest[~close]
-
-
-def _region(keys: list[bytes], ids: np.ndarray, sketches: np.ndarray, near: int, depth: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Stars of one region in its order; a crowded region is cut where longer prefixes differ."""
-    if len(ids) <= REGION:
-        yield from _stars(ids, sketches, near)
-        return
-    leads: list[int] = []
-    if depth < DEPTH:
-        end = 1 + 4 * (depth + 1)
-        edges = [0, *(i for i in range(1, len(keys)) if keys[i][:end] != keys[i - 1][:end]), len(keys)]
-    else:
-        edges = [*range(0, len(keys), REGION), len(keys)]
+        if not len(rest):
+            break
+        close = (sketches[rest] == sketches[lead]).sum(1) >= near
+        if close.any():
+            links.append(np.stack([np.full(int(close.sum()), lead), rest[close]]))
+            group[rest[close]] = lead
+            rest = rest[~close]
+    size = np.bincount(group, minlength=n)
+    if not links or size.max() == n:
+        return links, group
+    for k in np.flatnonzero(group != size.argmax()).tolist():
+        other = np.flatnonzero(group != group[k])
+        met = other[(sketches[other] == sketches[k]).sum(1) >= near]
+        if len(met):
+            met = met[np.unique(group[met], return_index=True)[1]]
+            links.append(np.stack([np.full(len(met), k), met]))
+            group[np.isin(group, group[met])] = group[k]
+    return links, group
+
+
+def _region(keys: list[bytes], sketches: np.ndarray, near: int, depth: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Ties of one region in its order, as of _ties; a crowded region is cut where longer prefixes differ, as deep as it takes."""
+    if len(keys) <= REGION or depth == DEPTH:
+        return _ties(sketches, near)
+    links: list[np.ndarray] = []
+    group = np.empty(len(keys), np.int64)
+    end = 1 + 4 * (depth + 1)
+    edges = [0, *(i for i in range(1, len(keys)) if keys[i][:end] != keys[i - 1][:end]), len(keys)]
     for i, j in zip(edges[:-1], edges[1:], strict=True):
-        for lead, close in _region(keys[i:j], ids[i:j], sketches[i:j], near, depth + 1):
-            leads.append(lead + i)
-            yield lead + i, close + i
+        inner, group[i:j] = _region(keys[i:j], sketches[i:j], near, depth + 1)
+        links += [x + i for x in inner]
+        group[i:j] += i
     # the pieces' first documents tie together what the cuts kept apart
-    first = np.array(list(dict.fromkeys(leads)))
-    for lead, close in _stars(ids[first], sketches[first], near):
-        if len(close):
-            yield int(first[lead]), first[close]
+    first = np.unique(group, return_index=True)[1]
+    inner, of = _ties(sketches[first], near)
+    links += [first[x] for x in inner]
+    return links, of[np.unique(group, return_inverse=True)[1]]
 
 
 def candidates(classes: DataFrame, threshold: float) -> DataFrame:
@@ -178,13 +196,10 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
         at_border = True
 
         def region(k: list[bytes], i: np.ndarray, s: np.ndarray, border: bool) -> Iterator[pa.RecordBatch]:
-            leads = []
-            for lead, close in _region(k, i, s, near, LEAST_DEPTH):
-                if len(close):
-                    links.append((np.full(len(close), i[lead]), i[close]))
-                leads.append(lead)
+            ties, group = _region(k, s, near, LEAST_DEPTH)
+            links.extend((i[x[0]], i[x[1]]) for x in ties)
             if border:
-                leads = list(dict.fromkeys(leads))
+                leads = np.unique(group, return_index=True)[1].tolist()
                 n = len(leads)
                 yield pa.RecordBatch.from_arrays([pa.array(i[leads]), pa.nulls(n, pa.int64()), pa.array([k[x][:PREFIX] for x in leads], pa.binary()), pa.array([s[x].tobytes() for x in leads], pa.binary())], names=["a", "b", "prefix", "sketch"])
 
@@ -221,10 +236,8 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
         sketches = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
         order = np.argsort(ids, kind="stable")
         ids, sketches = ids[order], sketches[order]
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for lead, close in _stars(ids, sketches, near):
-            a.append(np.full(len(close), ids[lead])), b.append(ids[close])
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+        a, b = np.concatenate([np.empty((2, 0), np.int64), *(ids[x] for x in _ties(sketches, near)[0])], axis=1)
+        return pa.table({"a": a, "b": b})
 
     rows = classes.select(F.col("node").alias("id"), "signature").mapInArrow(orders, "key binary, id long, sketch binary")
     rows = rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
@@ -419,7 +432,10 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 80, id_col: str
 
 
 def _marked(rows: DataFrame, of: DataFrame) -> DataFrame:
-    out = rows.select("doc_id", "n_shingles", "fingerprint").join(of.select("fingerprint", F.col("least").alias("component")), "fingerprint", "left")
+    rows = rows.select("doc_id", "n_shingles", "fingerprint")
+    out = rows.filter("fingerprint is not null").join(of.select("fingerprint", F.col("least").alias("component")), "fingerprint", "left")
+    # rows without shingles are in no class: in the join they would all go to one task
+    out = out.unionByName(rows.filter("fingerprint is null").withColumn("component", F.lit(None).cast("long")))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
@@ -435,11 +451,11 @@ def one_of_each(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "
     named, key = df.filter(F.col(id_col).isNotNull()), F.col(id_col).cast("long")
     nulls = df.filter(F.col(id_col).isNull())
     if mixed is None:
-        return named.join(gone, key == F.col("_gone"), "left_anti").dropDuplicates([id_col]).unionByName(nulls)
+        return named.join(gone, key == gone["_gone"], "left_anti").dropDuplicates([id_col]).unionByName(nulls)
     ids = mixed.select(F.col("doc_id").alias("_mixed"))
-    plain = named.join(ids, key == F.col("_mixed"), "left_anti").join(gone, key == F.col("_gone"), "left_anti").dropDuplicates([id_col])
+    plain = named.join(ids, key == ids["_mixed"], "left_anti").join(gone, key == gone["_gone"], "left_anti").dropDuplicates([id_col])
     # of a doc_id with several texts, the rows of its groups' least classes stay, and one without shingles
-    several = _printed(named.join(ids, key == F.col("_mixed"), "left_semi"), size, text_col).withColumn("_id", F.col("row").getField(id_col).cast("long"))
+    several = _printed(named.join(ids, key == ids["_mixed"], "left_semi"), size, text_col).withColumn("_id", F.col("row").getField(id_col).cast("long"))
     least = of.filter("node = component").select("fingerprint", "rep")
     first = several.join(least, (F.col("print") == F.col("fingerprint")) & (F.col("_id") == F.col("rep")), "left_semi")
     kept = first.unionByName(several.filter("print is null")).dropDuplicates(["_id", "print"]).select("row.*")

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bound_arrow, text_batches, texts_of
 
@@ -133,7 +134,7 @@ def accept(df: DataFrame, policy: str = "v1", rules: tuple[Rule, ...] = RULES, i
             got = np.array([measure_text(t) for t in texts], np.int64).reshape(len(texts), len(MEASURES))
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(got[:, k]) for k in range(len(MEASURES)))], names=["row", *MEASURES])
 
-    measured = rows.mapInArrow(run, f"row {df.schema.simpleString()}, " + ", ".join(f"{m} long" for m in MEASURES))
+    measured = rows.mapInArrow(run, T.StructType([T.StructField("row", df.schema), *(T.StructField(m, T.LongType()) for m in MEASURES)]))
     return measured.withColumn("failures", failures_of(rules)).filter(kept_by(policy)).select("row.*")
 
 
