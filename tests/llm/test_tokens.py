@@ -3,6 +3,7 @@
 import functools
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -237,3 +238,17 @@ def test_units_met_again_are_kept():
         assert np.frombuffer(got[0], "<u4").tolist() == [5, 2 + len(str(k)), 2 + len(str(k))] and got[1] == b"whole"
     assert made.count("often") == made.count(" often") == 1 and len(made) == 103 and len(table.young.places) + len(table.old.places) <= 48
     assert table.counts(pa.array(["often w1", ""])).tolist()[0] == 2
+
+
+@pytest.mark.parametrize("part", ["abcdefgh", "日本語の文章", "a", "=-", "word"])
+def test_long_unbroken_pieces(part):
+    ranks = bpe.parse_ranks(file_bytes(RANKS))
+    library = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    replay = bpe.MergeReplay(ranks)
+    rng = random.Random(4)
+    mixed = "".join(rng.choice("abcsthe0") for _ in range(50_000))
+    pieces = [part * (1_000_000 // len(part.encode())), mixed, mixed[:255], mixed[:256], mixed[:257], part * 60]
+    began = time.process_time()
+    got = replay.encode([p.encode() for p in pieces])
+    assert time.process_time() - began < 20
+    assert [x.tolist() for x in got] == [library.encode_ordinary(p) for p in pieces]

@@ -6,8 +6,11 @@ are replayed over all pieces in rank order, and each application re-indexes only
 the two neighbouring pairs it touches. Pieces repeat so often that the replay
 sees a small part of the text; documents are then put together by lookup.
 
-There is no shuffle: each task replays the distinct pieces of its own rows, in
-memory bounded by the batch and by the table's limit, so hot sources, copies and
+The corpus is replayed task by task: each replays the distinct pieces of its own rows,
+slice by slice, and keeps frequent ones from slice to slice. To replay a piece once in
+the whole corpus, all pieces of all documents would have to be shuffled and joined
+back, many times the input; merges never look beyond a piece, so the ids are the same.
+Memory is bounded by the slice and by the table's limit, and hot sources, copies and
 lost executors change nothing.
 
 Defined results: null text counts as empty; an empty text has no ids and decodes
@@ -19,6 +22,7 @@ from __future__ import annotations
 import base64
 import gc
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +54,8 @@ class MergeReplay:
 
     #: positions from which array operations pay off
     MANY = 24
+    #: bytes from which a piece is replayed by itself
+    LONG = 256
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -100,6 +106,42 @@ class MergeReplay:
             todo = todo[~hit & (found >= 0)]
         return out
 
+    def encode_long(self, piece: bytes) -> np.ndarray:
+        """ids of one piece, by a heap of (rank, place): a piece of any length takes n log n steps.
+
+        Together with others, a long piece would have to hand in its many places of one rank one by one.
+        """
+        joined = self.joined.get
+        raw = np.frombuffer(piece, np.uint8)
+        n = len(raw)
+        sym = array("i", self.singles[raw].tobytes())
+        aft = array("q", np.arange(1, n + 1).tobytes())
+        bef = array("q", np.arange(-1, n - 1).tobytes())
+        first = self.byte_pairs[raw[:-1], raw[1:]]
+        at = np.flatnonzero(first >= 0)
+        due = (first[at] << 40 | at).tolist()
+        heapq.heapify(due)
+        while due:
+            x = heapq.heappop(due)
+            rank, p = x >> 40, x & 0xFFFFFFFFFF
+            left, q = sym[p], aft[p]
+            if left < 0 or q == n or joined(left << 32 | sym[q]) != rank:
+                continue
+            sym[p], sym[q] = rank, -1
+            follower = aft[p] = aft[q]
+            if follower < n:
+                bef[follower] = p
+                new = joined(rank << 32 | sym[follower])
+                if new is not None:
+                    heapq.heappush(due, new << 40 | p)
+            leader = bef[p]
+            if leader >= 0:
+                new = joined(sym[leader] << 32 | rank)
+                if new is not None:
+                    heapq.heappush(due, new << 40 | leader)
+        out = np.frombuffer(sym, np.int32)
+        return out[out >= 0]
+
     def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
         """ids of each piece, as lowest-rank-first, leftmost-first merging gives them."""
         ranks, joined = self.ranks, self.joined.get
@@ -109,6 +151,8 @@ class MergeReplay:
             whole = ranks.get(piece)
             if whole is not None:
                 out[k] = np.array([whole], np.int32)
+            elif len(piece) >= self.LONG:
+                out[k] = self.encode_long(piece)
             elif piece:
                 cut.append(k)
             else:
