@@ -4,7 +4,7 @@ import os
 import pytest
 
 from vantle import cli
-from vantle.sources import shapes
+from vantle.sources import feeds, shapes
 
 
 def put(folder, name, text):
@@ -67,4 +67,4 @@ def test_small_commands(spark, tmp_path):
     os.mkdir(tmp_path / "in")
     put(tmp_path / "in", "feb_1_weather_x.csv", "zip,v\na,1\n")
     cli.main(["ingest", "--input-dir", str(tmp_path / "in"), "--output-dir", str(tmp_path / "master")], spark)
-    assert spark.read.parquet(str(tmp_path / "master" / "weather")).count() == 1
+    assert feeds.master(spark, "weather", str(tmp_path / "master" / "weather"), str(tmp_path / "master" / "weather.json")).count() == 1

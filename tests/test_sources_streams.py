@@ -81,13 +81,13 @@ def test_ingestion(spark, tmp_path):
     box, table, state = str(tmp_path / "in"), str(tmp_path / "master"), str(tmp_path / "state.json")
     os.mkdir(box)
     put(box, NAMES[0], "zip,v\na,1\nb,2\n")
-    run = lambda: feeds.ingest(spark, "air_quality", feeds.find_files(box)["air_quality"], table, state)
+    run = lambda: feeds.ingest(spark, "air_quality", feeds.find_files(spark, box)["air_quality"], table, state)
     assert run().action == "rebuild" and run().action == "skip"
     put(box, NAMES[1], "zip,v\nc,3\n")
     assert run().action == "append"
     put(box, "jan_1_air_quality_x.csv", "zip,v\nz,0\n")
     assert run().action == "rebuild"
-    assert [r["v"] for r in feeds.master(spark, table).collect()] == ["0", "1", "2", "3"]
+    assert [r["v"] for r in feeds.master(spark, "air_quality", table, state).collect()] == ["0", "1", "2", "3"]
     put(box, "apr_1_air_quality_x.csv", "zip,w\nz,0\n")
     with pytest.raises(ValueError):
         run()
@@ -109,6 +109,7 @@ def test_streams(spark, tmp_path):
     up = lambda: streams.upsert_available(streams.feed_stream(spark, box, schema, files_per_trigger=1), merged, mark, ["zip", "t"], "zip").awaitTermination()
     up()
     assert {(r["zip"], r["t"]) for r in spark.read.parquet(merged).collect()} == {("a", 1), ("a", 2), ("b", 1)}
+    assert {r["v"] for r in spark.read.parquet(merged).filter("zip = 'a' and t = 2").collect()} == {9.0}
     put(box, "3.csv", "zip,t,v\na,1,7\n")
     up()
     assert {(r["t"], r["v"]) for r in spark.read.parquet(merged).filter("zip = 'a' and t = 1").collect()} == {(1, 7.0)}
@@ -119,12 +120,12 @@ def test_stream_lags_and_statistics(spark, tmp_path):
     os.mkdir(box)
     schema = T.StructType([T.StructField("zip", T.StringType()), T.StructField("t", T.IntegerType()), T.StructField("v", T.DoubleType())])
     put(box, "1.csv", "zip,t,v\na,1,1\na,2,2\n")
-    stream = streams.feed_stream(spark, box, schema).drop("source_file")
+    stream = streams.feed_stream(spark, box, schema).drop("source_file", "arrival")
     q = streams.running_statistics(stream, ["v"]).writeStream.format("memory").queryName("stats_v").outputMode("complete").start()
     q.processAllAvailable()
     q.stop()
     row = spark.table("stats_v").first()
-    assert (row["n_v"], row["sum_v"], row["squares_v"]) == (2, 3.0, 5.0)
+    assert (row["n_v"], row["mean_v"], row["variance_v"]) == (2, 1.5, 0.25)
     q = streams.stream_lags(stream, "zip", "t", ["v"], 2).writeStream.format("memory").queryName("lags_v").outputMode("append").start()
     q.processAllAvailable()
     put(box, "2.csv", "zip,t,v\na,3,3\n")
@@ -141,7 +142,7 @@ def test_stream_join(spark, tmp_path):
         box = str(tmp_path / side)
         os.mkdir(box)
         put(box, "1.csv", f"zip,time,v\nx,2024-01-01 00:00:00,1\n{side},2024-01-01 01:00:00,2\n")
-        sides.append(streams.feed_stream(spark, box, schema).drop("source_file").withColumnRenamed("v", f"v_{side}"))
+        sides.append(streams.feed_stream(spark, box, schema).drop("source_file", "arrival").withColumnRenamed("v", f"v_{side}"))
     q = streams.stream_join(*sides, "zip", "time").writeStream.format("memory").queryName("both_sides").outputMode("append").start()
     q.processAllAvailable()
     q.stop()

@@ -95,7 +95,7 @@ def merge(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def ingest(spark: SparkSession, a: argparse.Namespace) -> None:
     """Bring new feed files into the master tables."""
-    for kind, files in feeds.find_files(a.input_dir, a.with_year).items():
+    for kind, files in feeds.find_files(spark, a.input_dir, a.with_year).items():
         done = feeds.ingest(spark, kind, files, os.path.join(a.output_dir, kind), os.path.join(a.output_dir, f"{kind}.json"), a.with_year)
         print(kind, done.action, len(done.added))
 
@@ -115,6 +115,8 @@ def tidy(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.strip_time:
         name = by_trimmed_name(df.columns, a.strip_time)
         df = df.withColumn(name, strip_after_seconds(name))
+    if a.drop and not (a.strip_time or a.drop_empty or a.profile):
+        return tables.remove_fields(spark, a.input, a.output, a.drop, a.delimiter)
     if a.drop:
         df = project.drop_columns(df, a.drop, strict=True)
     if a.drop_empty:

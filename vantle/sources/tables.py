@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import store
+
 #: Declared types of known columns; every other column of a CSV is read as text.
 KNOWN = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("zip", "time", "city", "state", "trifd", "facility", "chemical")]
@@ -31,10 +36,15 @@ def csv_schema(names: Sequence[str], known: T.StructType = KNOWN) -> T.StructTyp
     return T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
 
 
+def text_schema(names: Sequence[str]) -> T.StructType:
+    """Every column as text."""
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def read_csv(spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | None = None, text_only: bool = False) -> DataFrame:
     """A CSV with a header. Short rows are filled with NULL, extra fields dropped; types are declared, never guessed."""
     names = header(spark, path, sep)
-    schema = schema or (T.StructType([T.StructField(n, T.StringType()) for n in names]) if text_only else csv_schema(names))
+    schema = schema or (text_schema(names) if text_only else csv_schema(names))
     return spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE").option("enforceSchema", True).schema(schema).csv(path)
 
 
@@ -46,6 +56,39 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, mi
     (out.coalesce(1) if single_file else out).write.mode(mode).option("header", True).option("nullValue", missing).option("emptyValue", "").csv(path)
 
 
+def remove_fields(spark: SparkSession, path: str, output: str, columns: Sequence[str], sep: str = ",") -> None:
+    """A CSV without the first column of each given name, written as a folder of CSV parts with a header.
+
+    Works on fields, not on typed columns: of repeated names only the first goes, short rows
+    are filled to the header's width, and fields beyond it stay. Absent names raise. A quoted
+    field may not hold a line break.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
+    first = lines.orderBy("split", "at").first()
+    if first is None or not first["value"].strip():
+        raise ValueError(f"empty file: {path}")
+    names = next(csv.reader([first["value"]], delimiter=sep))
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    gone = {names.index(c) for c in columns}
+
+    def cut(rows: list[list[str]]) -> list[str]:
+        out = io.StringIO()
+        csv.writer(out, delimiter=sep, lineterminator="\n").writerows([v for i, v in enumerate([*r, *[""] * (len(names) - len(r))]) if i not in gone] for r in rows)
+        return out.getvalue().splitlines()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun = False
+        for batch in batches:
+            got = cut(list(csv.reader(batch.column(0).to_pylist(), delimiter=sep)))
+            yield pa.RecordBatch.from_pydict({"value": pa.array(([] if begun else cut([names])) + got, pa.string())})
+            begun = True
+
+    rows = lines.filter(~((F.col("split") == first["split"]) & (F.col("at") == first["at"]))).filter("value <> ''").select("value")
+    rows.mapInArrow(run, "value string").write.mode("overwrite").text(output)
+
+
 def concat_tables(tables: Sequence[DataFrame]) -> DataFrame:
     """All rows one after another; tables without columns are left out; other headers must agree exactly."""
     full = [t for t in tables if t.columns]
@@ -103,12 +146,14 @@ def export_npy(cells: DataFrame, path: str, dims: Sequence[int], index: Sequence
     out = np.full(tuple(dims), np.nan, np.float32)
     for row in cells.select(*index, value).toLocalIterator():
         out[tuple(row[i] for i in index)] = row[value]
-    np.save(path, out)
+    content = io.BytesIO()
+    np.save(content, out)
+    store.write_bytes(cells.sparkSession, path, content.getvalue())
 
 
 def import_npy(spark: SparkSession, path: str, index: Sequence[str]) -> DataFrame:
     """The cells of an array file that are no NaN."""
-    array = np.load(path)
+    array = np.load(io.BytesIO(store.read_bytes(spark, path)))
     at = np.argwhere(~np.isnan(array))
     rows = [(*map(int, i), float(array[tuple(i)])) for i in at]
     return spark.createDataFrame(rows, ", ".join(f"{n} int" for n in index) + ", value float")

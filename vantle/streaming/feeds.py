@@ -19,7 +19,9 @@ def feed_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     reader = spark.readStream.format("csv").option("header", True).option("pathGlobFilter", glob).schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(folder).withColumn("source_file", F.input_file_name())
+    # where a row comes from: by these, the last of a batch is the last of the newest file
+    arrival = F.struct(F.col("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"))
+    return reader.load(folder).select("*", F.input_file_name().alias("source_file"), arrival.alias("arrival"))
 
 
 def append_available(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
@@ -30,12 +32,15 @@ def append_available(stream: DataFrame, table: str, checkpoint: str) -> Streamin
 def upsert_available(stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str], partition: str) -> StreamingQuery:
     """Merge what has arrived by key, late files included: only touched partitions are rewritten.
 
-    The last value of a key by arrival wins. A batch that is run again gives the same table.
+    The last value of a key by arrival wins: that of the latest batch and there, for a stream
+    of feed_stream, of the newest file and its last row. A batch that is run again gives the
+    same table.
     """
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, number: int) -> None:
-        new = batch.withColumn("__batch", F.lit(number))
+        arrival = F.col("arrival") if "arrival" in batch.columns else F.lit(0)
+        new = batch.withColumn("__at", F.struct(F.lit(number).alias("batch"), arrival.alias("arrival"), F.monotonically_increasing_id().alias("row"))).drop("arrival")
         try:
             old = spark.read.parquet(table)
         except Exception as problem:
@@ -45,7 +50,7 @@ def upsert_available(stream: DataFrame, table: str, checkpoint: str, keys: Seque
         if old is not None:
             new = old.join(new.select(partition).distinct(), partition, "left_semi").unionByName(new)
         rest = [c for c in new.columns if c not in keys]
-        merged = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("__batch", F.xxhash64(*rest))).alias("r")).select(*keys, "r.*")
+        merged = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("__at")).alias("r")).select(*keys, "r.*")
         # staged first: a partition that is being overwritten is never read by the same job
         staging = f"{table.rstrip('/')}_staged"
         merged.write.mode("overwrite").parquet(staging)
@@ -88,12 +93,25 @@ def stream_lags(stream: DataFrame, key: str, order: str, features: Sequence[str]
 
 
 def running_statistics(stream: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """n, sum, sum of squares, least and largest value of each column, kept up to date (complete mode)."""
+    """n, mean, population variance, least and largest value of each column, kept up to date (complete mode).
+
+    Spark's variance merges central moments, so large values don't cancel as squares would.
+    """
     value = lambda c: F.col(c).cast("double")
-    parts = [f.alias(f"{n}_{c}") for c in columns for n, f in (("n", F.count(value(c))), ("sum", F.sum(value(c))), ("squares", F.sum(value(c) * value(c))), ("min", F.min(value(c))), ("max", F.max(value(c))))]
+    parts = [f(value(c)).alias(f"{n}_{c}") for c in columns for n, f in (("n", F.count), ("mean", F.avg), ("variance", F.var_pop), ("min", F.min), ("max", F.max))]
     return stream.groupBy().agg(*parts)
 
 
+def running_values(stream: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, n): the distinct values of each column as trimmed text, empty ones as ``nan``, and how often each came.
+
+    Its rows a column are the exact running distinct count; the state holds each value once.
+    """
+    text = lambda c: F.coalesce(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")), F.lit("nan"))
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), text(c).alias("value")) for c in columns])).alias("x")
+    return stream.select(each).groupBy("x.column", "x.value").agg(F.count("*").alias("n")).select("column", "value", "n")
+
+
 def stream_join(left: DataFrame, right: DataFrame, key: str, time: str, delay: str = "2 hours") -> DataFrame:
     """Full outer join of two streams on key and time; watermarks bound how long a row waits for its partner."""
     a = left.withWatermark(time, delay).alias("a")
