@@ -90,21 +90,23 @@ def require_column(names: Sequence[str], wanted: Sequence[str], what: str) -> st
 
 #: Marks of direction columns and candidate headers of source tables.
 DIRECTION_MARKS = ("direction", "wind_dir", "winddirection")
+FACILITY_ID_HEADERS = ("TRIFID", "TRIFD", "facility_id", "tri_facility_id")
 FACILITY_HEADERS = {
-    "facility_id": ("trifd", "tri_facility_id", "facility_id"),
-    "lat": ("latitude", "lat"),
-    "lon": ("longitude", "lon", "lng"),
-    "amount": ("total_air_emissions_lbs", "total_releases", "amount"),
+    "facility_id": FACILITY_ID_HEADERS,
+    "lat": ("LATITUDE83", "LATITUDE", "lat"),
+    "lon": ("LONGITUDE83", "LONGITUDE", "lon", "lng"),
+    "amount": ("total_air_emissions_lbs", "TOTAL RELEASE", "TOTAL_RELEASE", "amount"),
+    "facility_name": ("FACILITY NAME", "FAC_NAME", "facility_name", "facility", "name"),
 }
 CHEMICAL_HEADERS = {
-    "facility_id": ("trifd", "tri_facility_id", "facility_id"),
-    "chemical": ("chemical", "chemical_name"),
-    "amount": ("total_air_emissions_lbs", "total_releases", "amount"),
+    "facility_id": FACILITY_ID_HEADERS,
+    "chemical": ("CHEMICAL", "CHEMICAL NAME", "chemical_name"),
+    "amount": ("TOTAL RELEASE", "TOTAL_RELEASE", "ON-SITE RELEASE TOTAL", "ONSITE_RELEASE_TOTAL", "TOTAL WASTE", "TOTAL_WASTE", "total_air_emissions_lbs", "stack_lbs", "fugitive_lbs", "amount"),
 }
 PLACE_HEADERS = ("ZCTA5CE20", "ZCTA5CE10", "GEOID20", "GEOID10", "zip", "zcta")
 
 
-def pick_columns(names: Sequence[str], headers: dict[str, Sequence[str]], optional: Iterable[str] = ("amount",)) -> dict[str, str | None]:
+def pick_columns(names: Sequence[str], headers: dict[str, Sequence[str]], optional: Iterable[str] = ("amount", "facility_name")) -> dict[str, str | None]:
     """role -> column name; a missing role that is not optional raises."""
     found = {role: find_column(names, wanted) for role, wanted in headers.items()}
     missing = [r for r, n in found.items() if n is None and r not in set(optional)]
