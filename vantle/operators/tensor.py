@@ -63,6 +63,51 @@ def split(observed: DataFrame, n_times: int, train: float, val: float, test: flo
     return observed.withColumn("split", part).withColumn("t_idx", F.when(t < a, t).when(t < a + b, t - a).otherwise(t - a - b))
 
 
+def _start(plane: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Half the sum of each cell's row mean and column mean over the seen cells; a line without any has the mean of all."""
+    whole = plane[seen].mean(dtype=np.float64)
+    known = np.where(seen, plane, 0)
+
+    def means(axis: int) -> np.ndarray:
+        n = seen.sum(axis)
+        return np.where(n, known.sum(axis, dtype=np.float32) / np.maximum(n, 1), whole).astype(np.float32)
+
+    return (means(1)[:, None] + means(0)[None, :]) / np.float32(2)
+
+
+class Wavefronts:
+    """The gaps of a plane by antidiagonal, in a copy with a frame of zeros.
+
+    A sweep in row order lets a gap use the new values above and left of it and the old
+    ones below and right, all on the neighbouring antidiagonals. So a whole antidiagonal
+    is swept by array operations, and the values are those of the sweep cell by cell.
+    """
+
+    def __init__(self, plane: np.ndarray, gaps: np.ndarray):
+        height, width = plane.shape
+        self.framed = np.pad(plane, 1)
+        self.stride = width + 2
+        rows, columns = np.nonzero(gaps)
+        order = np.argsort(rows + columns, kind="stable")
+        rows, columns = rows[order], columns[order]
+        spot = (rows + 1) * self.stride + columns + 1
+        corner = (rows > 0) & (columns > 0)
+        terms = np.sum([rows > 0, columns > 0, corner, rows < height - 1, columns < width - 1], axis=0, dtype=np.float32)
+        edges = np.flatnonzero(np.diff(rows + columns)) + 1
+        self.fronts = list(zip(*(np.split(x, edges) for x in (spot, corner, terms)), strict=True))
+
+    def sweep(self) -> float:
+        """Every gap becomes the mean of its terms once; the largest change."""
+        cell, s, largest = self.framed.reshape(-1), self.stride, 0.0
+        for spot, corner, terms in self.fronts:
+            above, left = cell[spot - s], cell[spot - 1]
+            plane = np.where(corner, above + left - cell[spot - s - 1], np.float32(0))
+            value = (plane + above + left + cell[spot + s] + cell[spot + 1]) / terms
+            largest = max(largest, float(np.fmax.reduce(np.abs(value - cell[spot]))))
+            cell[spot] = value
+        return largest
+
+
 def fill_plane(plane: np.ndarray, sweeps: int = 50, tolerance: float = 1e-6) -> np.ndarray:
     """A [time, place] plane without NaN.
 
@@ -71,42 +116,18 @@ def fill_plane(plane: np.ndarray, sweeps: int = 50, tolerance: float = 1e-6) ->
     as far as they exist. Sweeps end when no gap moves by ``tolerance``. An empty plane
     becomes zeros; observed cells never change.
     """
-    out = np.array(plane, np.float32)
-    gaps = np.argwhere(np.isnan(out))
-    if not len(gaps):
-        return out
-    if len(gaps) == out.size:
-        return np.zeros_like(out)
-    total = np.nanmean(out)
-    seen = ~np.isnan(out)
-    mean = lambda axis: np.where(seen.any(axis), np.where(seen, out, 0).sum(axis, dtype=np.float32) / np.maximum(seen.sum(axis), 1), total).astype(np.float32)
-    rows, columns = mean(1), mean(0)
-    for i, j in gaps:
-        out[i, j] = (rows[i] + columns[j]) / 2
-    height, width = out.shape
-    i, j = gaps.T
-    near = (1 * (i > 0) + (j > 0) + ((i > 0) & (j > 0)) + (i + 1 < height) + (j + 1 < width)).astype(np.float32)
-    # in row order a gap follows those above and left of it alone, so the gaps of an antidiagonal are swept at once
-    framed = np.zeros((height + 2, width + 2), np.float32)
-    framed[1:-1, 1:-1] = out
-    flat, step = framed.ravel(), width + 2
-    order = np.argsort(i + j, kind="stable")
-    spots, corner, near = ((i + 1) * step + j + 1)[order], ((i > 0) & (j > 0))[order], near[order]
-    cuts = np.flatnonzero(np.diff((i + j)[order])) + 1
-    waves = list(zip(np.split(spots, cuts), np.split(corner, cuts), np.split(near, cuts), strict=True))
+    plane = np.asarray(plane, np.float32)
+    gaps = np.isnan(plane)
+    if gaps.all():
+        return np.zeros_like(plane)
+    if not gaps.any():
+        return plane.copy()
+    fronts = Wavefronts(np.where(gaps, _start(plane, ~gaps), plane), gaps)
     with np.errstate(invalid="ignore", over="ignore"):
         for _ in range(sweeps):
-            moved = 0.0
-            for at, inner, n in waves:
-                up, left = flat[at - step], flat[at - 1]
-                total = np.where(inner, up + left - flat[at - step - 1], np.float32(0)) + up + left
-                new = (total + flat[at + step] + flat[at + 1]) / n
-                moved = max(moved, float(np.fmax.reduce(np.abs(new - flat[at]))))
-                flat[at] = new
-            if moved < tolerance:
+            if fronts.sweep() < tolerance:
                 break
-    out[i, j] = framed[i + 1, j + 1]
-    return out
+    return fronts.framed[1:-1, 1:-1].copy()
 
 
 def filled(parts: DataFrame, n_features: int, sizes: dict[str, int], n_places: int, sweeps: int = 50, tolerance: float = 1e-6) -> DataFrame:
@@ -135,3 +156,13 @@ def sequence_rows(values: DataFrame, n_features: int, n_places: int) -> DataFram
     at = (F.col("f_idx") * n_places + F.col("h_idx")).alias("at")
     listed = F.array_sort(F.collect_list(F.struct(at, "value")))
     return values.groupBy("split", "t_idx").agg(F.transform(listed, lambda c: c["value"]).alias("input"))
+
+
+def sequence_cells(values: DataFrame, n_places: int, batch_first: bool = True) -> DataFrame:
+    """(split, i0, i1, i2, value): the cells of a sequence input, [1, time, feature and place] or [time, 1, feature and place].
+
+    With the sizes as dimensions, ``export_npy`` writes them as one array a split.
+    """
+    one, time = F.lit(0).alias("i0"), F.col("t_idx")
+    lead = [one, time.alias("i1")] if batch_first else [time.alias("i0"), F.lit(0).alias("i1")]
+    return values.select("split", *lead, (F.col("f_idx") * n_places + F.col("h_idx")).cast("int").alias("i2"), "value")
