@@ -24,9 +24,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass rule policy v1."""
+    """Documents that pass the latest rule policy."""
     ship_package(spark)
-    return rules.accept(docs, "v1")
+    return rules.accept(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
