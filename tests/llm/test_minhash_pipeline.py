@@ -201,7 +201,7 @@ def test_pipeline(spark, sf):
     scores = model.scores(np.stack([knn.term_shares(t) for _, t in rows]), knn.NEIGHBOURS)
     first = [r for r, s in zip(rows, scores, strict=True) if s >= 0.3]
     measured = spark.createDataFrame([(i, *rules.measure_text(t)) for i, t in first], "doc_id long, " + ", ".join(f"{m} long" for m in rules.MEASURES))
-    passed = {r["doc_id"] for r in measured.withColumn("failures", rules.failures_of()).filter(rules.kept_by("v1")).collect()}
+    passed = {r["doc_id"] for r in measured.withColumn("failures", rules.failures_of()).filter(rules.kept_by(rules.LATEST)).collect()}
     second = [r for r in first if r[0] in passed]
     want = {c for _, c in brute(second, 5).values()}
     out = corpus_pipeline.run(spark, sf).collect()

@@ -35,17 +35,32 @@ def test_measurements(spark):
 
 def test_policies_and_ablations(spark):
     df = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
-    book = rules.ledger(df).cache()
-    kept = {r["doc_id"] for r in book.filter(rules.kept_by("v1")).collect()}
-    passed = {r["doc_id"] for r in rules.accept(df).collect()}
-    assert kept == passed and len(texts()) - 2 in kept and 0 not in kept
-    got = {r["rule"]: r for r in rules.ablations(book).collect()}
-    failures = [r["failures"] for r in book.collect()]
-    for r in rules.RULES:
-        bit = 1 << r.bit
-        assert got[r.name]["failed"] == sum(f & bit > 0 for f in failures)
-        assert got[r.name]["failed_alone"] == sum(f == bit for f in failures)
-        assert got[r.name]["kept_without"] == sum(f & ~bit == 0 for f in failures)
+    book = rules.stored_ledger(df)
+    failures = {r["doc_id"]: r["failures"] for r in book.collect()}
+    for policy, names in rules.POLICIES.items():
+        mask = rules.mask_of(names)
+        kept = {i for i, f in failures.items() if not f & mask}
+        assert kept == {r["doc_id"] for r in book.filter(rules.kept_by(policy)).collect()}
+        assert kept == {r["doc_id"] for r in rules.accept(df, policy).collect()} and 0 not in kept and len(texts()) - 2 in kept
+        got = {r["rule"]: r for r in rules.ablations(book, policy).collect()}
+        assert set(got) == set(names)
+        for r in rules.RULES:
+            if r.name in names:
+                bit = 1 << r.bit
+                assert got[r.name]["failed"] == sum(f & bit > 0 for f in failures.values())
+                assert got[r.name]["failed_alone"] == sum(f & mask == bit for f in failures.values())
+                assert got[r.name]["kept_without"] == sum(f & mask & ~bit == 0 for f in failures.values())
+
+
+def test_versions_stay():
+    # a published version keeps its rules and their conditions; a change is a new version
+    conditions = {r.name: (r.bit, r.fails) for r in rules.RULES}
+    assert [conditions[n] for n in rules.POLICIES["v1"]] == [
+        (0, "n_words < 50"), (1, "100 * n_repeat_words > 50 * n_words"), (2, "100 * n_symbols > 25 * n_words"), (3, "100 * n_dup_lines > 30 * n_lines"),
+        (4, "word_chars < 2 * n_words"), (5, "word_chars > 16 * n_words"), (6, "100 * n_capitals > 40 * word_chars"),
+    ]
+    assert conditions["many_duplicate_lines"] == (7, "n_dup_lines >= 4 and 100 * n_dup_lines > 30 * n_lines")
+    assert rules.mask_of(rules.POLICIES["v2"]) == 247 and rules.LATEST == "v2"
 
 
 def test_base(spark):
@@ -65,7 +80,7 @@ def test_query(spark, sf, tmp_path):
     assert queries.op4_quality_rules(spark, str(tmp_path)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op4_quality_rules", "op10_top_k_search"])
+@pytest.mark.parametrize("name", ["op4_quality_rules", "quality_rule_ablations", "op10_top_k_search"])
 def test_against_sql(spark, sf, name):
     import duckdb
 

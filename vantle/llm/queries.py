@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -43,10 +44,17 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rule ledger of all documents under policy v1."""
-    rows = rules.ledger(table(spark, sf_dir, "documents"))
+    """The stored rule ledger of all documents under the latest policy."""
+    rows = rules.stored_ledger(table(spark, sf_dir, "documents"))
     base = rules.kept_by("base")
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~base).alias("base_failed"), (base & rules.kept_by("v1")).alias("kept"), "failures")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~base).alias("base_failed"), (base & rules.kept_by(rules.LATEST)).alias("kept"), "failures")
+
+
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of every policy version does to all documents, from one stored ledger."""
+    rows = rules.stored_ledger(table(spark, sf_dir, "documents"))
+    parts = [rules.ablations(rows, policy).withColumn("policy", F.lit(policy)) for policy in rules.POLICIES]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "quality_rule_ablations": quality_rule_ablations,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_token_counts": op6_token_counts,
     "op7_html_extraction": op7_html_extraction,
@@ -95,26 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_top_k_search": op10_top_k_search,
 }
 
-ORACLES: dict[str, str] = {
-    "op2_minhash_dedup": r"""
-WITH RECURSIVE d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
-  FROM documents
-),
-s AS (
-  SELECT DISTINCT doc_id, g FROM (
-    SELECT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS g FROM d)
-),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
-l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
-r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT l.y, r.c FROM r JOIN l ON l.x = r.doc_id),
-g AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
-FROM documents JOIN g USING (doc_id) LEFT JOIN n USING (doc_id)
-""",
-    "op4_quality_rules": r"""
+LEDGER_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
   SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
@@ -139,14 +129,44 @@ m AS (
 ),
 f AS (
   SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
-    + 4 * (100 * n_symbols > 25 * n_words)::INT + 8 * (n_dup_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines)::INT
+    + 4 * (100 * n_symbols > 25 * n_words)::INT + 8 * (100 * n_dup_lines > 30 * n_lines)::INT
     + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 16 * n_words)::INT
-    + 64 * (100 * n_capitals > 40 * word_chars)::INT)::BIGINT AS failures
+    + 64 * (100 * n_capitals > 40 * word_chars)::INT + 128 * (n_dup_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines)::INT)::BIGINT AS failures
   FROM m
 )
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_minhash_dedup": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS g FROM d)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT l.y, r.c FROM r JOIN l ON l.x = r.doc_id),
+g AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN g USING (doc_id) LEFT JOIN n USING (doc_id)
+""",
+    "op4_quality_rules": LEDGER_SQL
+    + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, failures
+       (failures & 3) <> 0 AS base_failed, (failures & 247) = 0 AS kept, failures
 FROM f
+""",
+    "quality_rule_ablations": LEDGER_SQL
+    + """,
+p(policy, mask) AS (VALUES ('base', 3), ('v1', 127), ('v2', 247)),
+r(rule, bit) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('duplicate_lines', 8), ('short_words', 16), ('long_words', 32), ('capitals', 64), ('many_duplicate_lines', 128))
+SELECT policy, rule, count(*) FILTER (failures & bit <> 0) AS failed, count(*) FILTER (failures & mask = bit) AS failed_alone, count(*) FILTER (failures & mask & ~bit = 0) AS kept_without
+FROM f, p, r WHERE mask & bit <> 0 GROUP BY policy, rule
 """,
     "op10_top_k_search": """
 WITH u AS (

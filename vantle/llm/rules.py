@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_arrow, text_batches, texts_of
+from .common import bound_arrow, text_batches, texts_of, written
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
@@ -38,17 +38,20 @@ RULES = (
     Rule("few_words", 0, "n_words < 50"),
     Rule("repeated_windows", 1, "100 * n_repeat_words > 50 * n_words"),
     Rule("symbols", 2, "100 * n_symbols > 25 * n_words"),
-    # a heading or a licence line that comes twice is no boilerplate: four repeats at least
-    Rule("duplicate_lines", 3, "n_dup_lines >= 4 and 100 * n_dup_lines > 30 * n_lines"),
+    Rule("duplicate_lines", 3, "100 * n_dup_lines > 30 * n_lines"),
     Rule("short_words", 4, "word_chars < 2 * n_words"),
     Rule("long_words", 5, "word_chars > 16 * n_words"),
     Rule("capitals", 6, "100 * n_capitals > 40 * word_chars"),
+    # a heading or a licence line that comes twice is no boilerplate: four repeats at least
+    Rule("many_duplicate_lines", 7, "n_dup_lines >= 4 and 100 * n_dup_lines > 30 * n_lines"),
 )
-#: Rules of each policy version. "base" is what every later version includes.
+#: Rules of each policy version. "base" is what every later version includes; a version is never changed.
 POLICIES = {
     "base": ("few_words", "repeated_windows"),
-    "v1": tuple(r.name for r in RULES),
+    "v1": ("few_words", "repeated_windows", "symbols", "duplicate_lines", "short_words", "long_words", "capitals"),
+    "v2": ("few_words", "repeated_windows", "symbols", "many_duplicate_lines", "short_words", "long_words", "capitals"),
 }
+LATEST = "v2"
 
 
 def repeated_words(words: list[bytes], window: int = 3) -> int:
@@ -124,7 +127,12 @@ def ledger(df: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     return measure(df, id_col, text_col).withColumn("failures", failures_of(rules))
 
 
-def accept(df: DataFrame, policy: str = "v1", rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def stored_ledger(df: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger written to the shared folder and read again: policies and ablations over it never see a text."""
+    return written(ledger(df, rules, id_col, text_col), "ledger")
+
+
+def accept(df: DataFrame, policy: str = LATEST, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df, all columns, that pass a policy version."""
     bound_arrow(df.sparkSession)
     rows = df.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -149,7 +157,7 @@ def kept_by(policy: str, failures: str = "failures") -> Column:
     return F.col(failures).bitwiseAND(F.lit(mask_of(POLICIES[policy])).cast("long")) == 0
 
 
-def ablations(ledger_rows: DataFrame, policy: str = "v1", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def ablations(ledger_rows: DataFrame, policy: str = LATEST, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(rule, failed, failed_alone, kept_without): what each rule of a policy does, from the ledger alone.
 
     One count per distinct mask, then bit tests over at most 2 ** rules rows.
