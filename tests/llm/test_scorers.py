@@ -1,6 +1,8 @@
 """Classifiers on made-up texts with a held-out fifth, and their building blocks by brute force."""
 
+import math
 import random
+import string
 import zlib
 
 import numpy as np
@@ -98,6 +100,83 @@ def test_hidden_words():
     assert table.matrix(["loweischaft"])[0][0] == 1
 
 
+def slow_features(lexicon, text):
+    """The features of one text, word by word."""
+    words = text.split()
+    if not words:
+        return [0.0] * len(toxicity.FEATURES)
+    strength = lambda w: max(lexicon.get(w, 0.0), *(lexicon.get(w[:n] + "*", 0.0) for n in toxicity.PREFIXES))
+    rows = []
+    for w in words:
+        bare, restored, hidden = toxicity.plain_forms(w)
+        plain, found = strength(bare), strength(restored) if hidden else 0.0
+        rows.append((max(plain, found), bare in toxicity.SECOND_PERSON, len(bare) > 1 and w.isupper(), hidden, found > plain))
+    n, size = len(words), len(text.encode())
+    hits = [k for k, r in enumerate(rows) if r[0] > 0]
+    near = sum(any(r[1] for r in rows[max(0, k - toxicity.NEAR) : k + toxicity.NEAR + 1]) for k in hits)
+    strengths = [r[0] for r in rows]
+    return [
+        len(hits) / n, math.log1p(len(hits)), max(strengths), sum(strengths) / n, math.log1p(len({words[k] for k in hits})),
+        sum(r[1] for r in rows) / n, near / n, sum(r[2] for r in rows) / n, sum(c in string.ascii_uppercase for c in text) / size, text.count("!") / n, text.count("?") / n,
+        sum(c in "!\"#$%&'()*+,-./:;<=>?@" for c in text) / size, sum(r[3] for r in rows) / n, sum(r[4] for r in rows) / n, math.log1p(n), (size - n) / n,
+    ]
+
+
+def slow_score(model, text):
+    """One text's score: every tree walked from its root, the calibration read by hand."""
+    x, margin = slow_features(model.lexicon, text), model.trees.start
+    for feature, threshold, leaf in zip(model.trees.feature, model.trees.threshold, model.trees.leaf, strict=True):
+        node = 0
+        while node < len(feature):
+            node = 2 * node + (2 if x[feature[node]] > threshold[node] else 1)
+        margin += leaf[node - len(feature)]
+    raw = 1 / (1 + math.exp(-min(max(margin, -30), 30)))
+    k = int(np.searchsorted(model.at, margin))
+    if k == 0 or k == len(model.at):
+        fitted = model.share[max(0, k - 1)]
+    else:
+        a, b = model.at[k - 1], model.at[k]
+        fitted = model.share[k - 1] + (model.share[k] - model.share[k - 1]) * (margin - a) / (b - a)
+    return min(max(0.99 * fitted + 0.01 * raw, 0.0), 1.0)
+
+
+def test_toxicity_query_equals_slow_scores(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"), "toxic")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = {r["doc_id"]: r for r in queries.op3_toxicity(spark, sf).collect()}
+    assert set(got) == set(texts)
+    for i, text in texts.items():
+        want = slow_score(model, text)
+        assert got[i]["score"] == pytest.approx(want, abs=1e-6) and got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_folds_do_not_choose_their_own_terms(spark):
+    # a word of one fold's toxic texts alone is in the whole lexicon, but not in that fold's
+    fold = {r["id"]: r["f"] for r in spark.range(4000).withColumn("f", toxicity._fold("id")).collect()}
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5]
+    toxic = {i for i in ids if i % 3 == 0}
+    rows = [(i, "river stone valley" + (" blimfa zorgle" if i in toxic and fold[i] == 2 else " blimfa" if i in toxic else "")) for i in ids[:900]]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i in toxic)) for i, _ in rows], "doc_id long, toxic int")
+    seen = []
+    real = toxicity._lexicon
+    toxicity._lexicon = lambda found, skipped, *a: seen.append((skipped, real(found, skipped, *a))) or seen[-1][1]
+    try:
+        toxicity.fit(docs, marks)
+    finally:
+        toxicity._lexicon = real
+    for skipped, lexicon in seen:
+        assert "blimfa" in lexicon and ("zorgle" in lexicon) == (skipped != 2)
+
+
+@pytest.mark.parametrize(("name", "label", "threshold", "least"), [("op3_toxicity", "toxic", 0.5, 0.97), ("op8_quality_classifier", "quality", 0.3, 0.97)])
+def test_held_out_accuracy_of_the_tables(spark, sf, name, label, threshold, least):
+    folder = sf.replace("sf0.001", "sf0.01")
+    truth = {r["doc_id"]: r[label] for r in spark.read.parquet(f"{folder}/labels.parquet").filter(f"{label} is not null").collect()}
+    rows = [r for r in queries.QUERIES[name](spark, folder).collect() if r["held_out"] and r["doc_id"] in truth]
+    assert len(rows) > 50 and np.mean([(r["score"] >= threshold) == truth[r["doc_id"]] for r in rows]) >= least
+
+
 def test_trees_and_isotonic():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, 3))

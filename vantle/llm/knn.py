@@ -5,7 +5,7 @@ it repeats itself (word pairs and lines seen before). Square roots of shares, ce
 and weighted, of a bounded labelled sample give a truncated SVD; the sample's latent
 vectors and labels are broadcast. Every document is projected the same way, all its
 cosines with the sample are computed in blocks, and its nearest neighbours vote with
-their similarity as weight.
+the fourth power of their similarity as weight.
 
 Only the labelled sample is bounded (labels.MAX_LABELLED, a parameter); every whole
 text is scored. Defined results: null text counts as empty and is scored like any

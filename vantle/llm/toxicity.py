@@ -5,9 +5,11 @@ second-person words, capitals, punctuation, and how often words hide letters beh
 digits, signs or stretched letters. The lexicon is a short fixed list plus words and
 word beginnings that labelled toxic texts use far more often than others.
 
-A bounded labelled sample is cut in folds by a hash of doc_id. Features of a fold use
-the other folds' lexicon, and calibration uses margins of trees grown without the
-fold, so no text judges its own words. Every whole text is scored.
+A bounded labelled sample (labels.MAX_LABELLED) is cut in folds by a hash of doc_id.
+Features of a fold use the other folds' lexicon, and calibration uses margins of trees
+grown without the fold, so no text judges its own words. The lexicon has at most
+MAX_LEXICON learnt terms, the most telling ones: the bound of what is broadcast and a
+parameter of fit(). Every whole text is scored.
 
 Defined results: null text counts as empty and is scored like any other; without
 labelled rows of both classes the score is the share of toxic labels, 0 without any;
@@ -50,6 +52,7 @@ FEATURES = (
     "lexicon_share", "lexicon_count", "lexicon_strongest", "lexicon_strength", "lexicon_distinct", "second_person_share", "near_second_person",
     "capital_words", "capital_letters", "exclamations", "questions", "punctuation", "hidden_share", "hidden_lexicon", "log_words", "mean_word",
 )
+#: Learnt terms of the lexicon at most: with the fixed ones, some 100 KB on every worker.
 MAX_LEXICON = 4_000
 
 
@@ -218,15 +221,19 @@ def _fold(doc_id: str = "doc_id"):
     return F.pmod(F.xxhash64(F.lit("fold"), F.col(doc_id)), F.lit(FOLDS)).cast("int")
 
 
-def _lexicon(terms: list[str], toxic: np.ndarray, clean: np.ndarray, n1: float, n0: float, most: int) -> dict[str, float]:
-    """The fixed insults plus the terms that toxic texts use far more often than others."""
+def _lexicon(found: DataFrame, skipped: int | None, n1: float, n0: float, most: int) -> dict[str, float]:
+    """The fixed insults plus at most ``most`` terms that toxic texts use far more often than others.
+
+    Terms are counted without the texts of fold ``skipped``, if any: it has no say in which are chosen.
+    """
     lexicon = {w: 2.0 for w in INSULTS}
     if n1 < 1 or n0 < 1:
         return lexicon
-    odds = np.log((toxic + 0.5) / (n1 + 1) / ((clean + 0.5) / (n0 + 1)))
-    good = np.flatnonzero((toxic >= 2) & (odds > 1.5))
-    for k in good[np.argsort(-odds[good] * np.sqrt(toxic[good]), kind="stable")][:most].tolist():
-        lexicon[terms[k]] = max(lexicon.get(terms[k], 0.0), float(odds[k]))
+    less = (lambda c: F.col(c)) if skipped is None else (lambda c: F.col(c) - F.col(f"{c}{skipped}"))
+    toxic, clean = less("toxic"), less("clean")
+    odds = F.log((toxic + 0.5) / F.lit(n1 + 1) / ((clean + 0.5) / F.lit(n0 + 1)))
+    for term, strength in found.select("term", toxic.alias("toxic"), odds.alias("odds")).filter("toxic >= 2 and odds > 1.5").orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "term").limit(most).select("term", "odds").collect():
+        lexicon[term] = max(lexicon.get(term, 0.0), strength)
     return lexicon
 
 
@@ -254,14 +261,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
     folds = range(FOLDS)
     by_fold = lambda c: [F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}{k}") for k in folds]
     found = sample.mapInArrow(count, "term string, fold int, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), *by_fold("toxic"), *by_fold("clean"))
-    odds = F.log((F.col("toxic") + 0.5) / F.lit(n1.sum()) / ((F.col("clean") + 0.5) / F.lit(n0.sum())))
-    telling = found.filter((F.col("toxic") >= 2) & (odds > 1.0)).orderBy(F.desc(odds * F.sqrt("toxic")), "term").limit(4 * max_lexicon).toPandas()
-    terms = telling["term"].tolist()
-    toxic = telling[[f"toxic{k}" for k in folds]].to_numpy(float)
-    clean = telling[[f"clean{k}" for k in folds]].to_numpy(float)
+    found = written(found.filter("toxic >= 2"), "terms")
     # a fold's features come from the other folds' lexicon, so no text vouches for its own words
-    without = [_lexicon(terms, toxic.sum(1) - toxic[:, k], clean.sum(1) - clean[:, k], n1.sum() - n1[k], n0.sum() - n0[k], max_lexicon) for k in folds]
-    lexicon = _lexicon(terms, toxic.sum(1), clean.sum(1), n1.sum(), n0.sum(), max_lexicon)
+    without = [_lexicon(found, k, n1.sum() - n1[k], n0.sum() - n0[k], max_lexicon) for k in folds]
+    lexicon = _lexicon(found, None, n1.sum(), n0.sum(), max_lexicon)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [WordTable(x, 100_000) for x in without]
