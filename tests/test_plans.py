@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as driver
 from vantle.operators import impact
-from vantle.plans import catalog, demo, pipelines
+from vantle.plans import catalog, catalog_files, demo, pipelines
 
 
 def norm(rows):

@@ -381,6 +381,8 @@ def severity_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 GRID = """g AS (SELECT user_id AS zip, date_trunc('hour', ts) AS time FROM events),
 full_grid AS (SELECT zip, t AS time FROM (SELECT DISTINCT zip FROM g), (SELECT unnest(generate_series(min(time), max(time), INTERVAL 1 HOUR)) AS t FROM g)),
 missing AS (SELECT zip, time FROM full_grid EXCEPT SELECT zip, time FROM g)"""
+#: the most frequent difference of neighbouring times, the least among ties
+STEP = "SELECT step_s FROM (SELECT (epoch(time) - epoch(lag(time) OVER (ORDER BY time)))::BIGINT AS step_s FROM (SELECT DISTINCT time FROM g)) WHERE step_s IS NOT NULL GROUP BY step_s ORDER BY count(*) DESC, step_s LIMIT 1"
 
 
 def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,7 +405,7 @@ def missing_by_time_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(quality.missing_by(quality.missing_pairs(_hours(spark, sf_dir), "zip", "time"), "missing_time", "missing_zip_count").limit(20))
 
 
-@query("grid_audit", f"WITH {GRID} SELECT (SELECT count(DISTINCT zip) FROM g) AS keys, (SELECT count(DISTINCT time) FROM g) AS times, 3600::BIGINT AS step_s, (SELECT count(*) FROM full_grid) AS expected_pairs, (SELECT count(*) FROM missing) AS missing_pairs")
+@query("grid_audit", f"WITH {GRID} SELECT (SELECT count(DISTINCT zip) FROM g) AS keys, (SELECT count(DISTINCT time) FROM g) AS times, (SELECT step_s FROM ({STEP})) AS step_s, (SELECT count(*) FROM full_grid) AS expected_pairs, (SELECT count(*) FROM missing) AS missing_pairs")
 def grid_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.audit(_hours(spark, sf_dir), "zip", "time")
 
@@ -419,9 +421,12 @@ def repeated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repeated_pairs(_hours(spark, sf_dir), ["zip", "time"])
 
 
-@query("modal_step", "SELECT 3600::BIGINT AS step_s")
+@query("modal_step", f"WITH g AS (SELECT date_trunc('hour', ts) AS time FROM events) SELECT 'hours' AS grid, step_s FROM ({STEP}) UNION ALL SELECT * FROM (WITH g AS (SELECT date_trunc('minute', ts) + INTERVAL 7 SECOND * (event_id % 2) AS time FROM events) SELECT 'shifted minutes', step_s FROM ({STEP}))")
 def modal_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.modal_step(_hours(spark, sf_dir), "time")
+    """The usual step of a regular and of a rough grid."""
+    rough = demo.table(spark, sf_dir, "events").select(F.expr("timestampadd(SECOND, 7 * (event_id % 2), date_trunc('minute', ts))").alias("time"))
+    parts = [stats.modal_step(df, "time").select(F.lit(name).alias("grid"), "step_s") for name, df in (("hours", _hours(spark, sf_dir)), ("shifted minutes", rough))]
+    return parts[0].unionByName(parts[1])
 
 
 @query(

@@ -106,7 +106,11 @@ def concat_tables(tables: Sequence[DataFrame]) -> DataFrame:
 def read_json(path: str) -> object:
     """A small JSON document; a Python-style ``name = {...}`` assignment is read too."""
     with open(path, encoding="utf-8") as file:
-        text = file.read()
+        return parse_json(file.read())
+
+
+def parse_json(text: str) -> object:
+    """JSON text, or a Python-style assignment of it."""
     start = text.find("{")
     if start > 0 and "=" in text[:start]:
         text = text[start:].rstrip().rstrip(";")
@@ -121,9 +125,14 @@ def write_json(path: str, value: object) -> None:
 
 
 def write_mapping(path: str, name: str, mapping: dict) -> None:
-    """``name = {...}`` as source text."""
+    """A file of mapping_text."""
     with open(path, "w", encoding="utf-8") as file:
-        file.write(f"{name} = {json.dumps(mapping, indent=4, sort_keys=True)}\n")
+        file.write(mapping_text(name, mapping))
+
+
+def mapping_text(name: str, mapping: dict) -> str:
+    """``name = {...}`` as source text."""
+    return f"{name} = {json.dumps(mapping, indent=4, sort_keys=True)}\n"
 
 
 def coordinate_map(spark: SparkSession, mapping: dict[str, dict[str, float]]) -> DataFrame:
