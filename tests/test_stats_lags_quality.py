@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -90,3 +91,13 @@ def test_lag_of_lag(spark, keys):
     one = lags.add_lags(df, "zip", ["t"], ["v"], 2)
     two = lags.add_lags(one, "zip", ["t"], ["v_past_1"], 1)
     assert all(r["v_past_1_past_1"] == r["v_past_2"] for r in two.collect())
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 20, 1001])
+def test_exact_quantile(spark, n):
+    rng = np.random.default_rng(n)
+    values = np.where(rng.random(n) < 0.4, 5.0, rng.normal(5, 3, n).round(1))  # one value holds a large part of the rows
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double")
+    for share in (0.0, 0.5, 0.95, 1.0):
+        assert stats.exact_quantile(df, "v", share) == pytest.approx(np.quantile(values, share))
+    assert stats.exact_quantile(df.filter("v is null"), "v", 0.5) is None

@@ -13,7 +13,7 @@ from .functions.normalize import by_trimmed_name, name_list, parse_time, strip_a
 from .operators import impact, project, quality, stats
 from .plans import geography, pipelines
 from .plans.report import StepLog
-from .session import local_session
+from .session import local_session, written
 from .sources import feeds, shapes, tables
 
 ROW = "__row"
@@ -37,7 +37,7 @@ def _geography(spark: SparkSession, a: argparse.Namespace, keys: DataFrame) -> t
     load = spark.read.format("shapes").load
     places = geography.place_centroids(load(a.zip_shapefile), keys)
     fac = impact.enrich_facilities(geography.facility_table(tables.read_csv(spark, a.tri_facilities)), geography.chemical_table(tables.read_csv(spark, a.tri_chemicals)), a.amount_fallback)
-    return places.cache(), fac, geography.road_parts(load(a.roads_shapefile))
+    return written(places, "places"), fac, geography.road_parts(load(a.roads_shapefile))
 
 
 def features(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -102,8 +102,8 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def audit(spark: SparkSession, a: argparse.Namespace) -> None:
     """Completeness of the (zip, time) grid."""
-    rows = tables.read_csv(spark, a.input).withColumn("time", parse_time("time").cast("timestamp")).select("zip", "time").cache()
-    missing = quality.missing_pairs(rows, "zip", "time").cache()
+    rows = written(tables.read_csv(spark, a.input).withColumn("time", parse_time("time").cast("timestamp")).select("zip", "time"), "rows")
+    missing = written(quality.missing_pairs(rows, "zip", "time"), "missing")
     quality.audit(rows, "zip", "time").show(truncate=False)
     for name, df in (("missing_pairs", missing), ("missing_by_zip", quality.missing_by(missing, "zip", "missing_timestep_count")), ("missing_by_time", quality.missing_by(missing, "missing_time", "missing_zip_count")), ("unexpected_pairs", quality.unexpected_pairs(rows, "zip", "time"))):
         tables.write_csv(df, os.path.join(a.output_dir, name), single_file=name != "missing_pairs")

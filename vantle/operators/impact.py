@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.features import wind_vector
 from ..functions.normalize import clip01, number
 from ..functions.spatial import decay, nearest_on_line
+from ..session import written
 from .joins import distance_join, lookup_join
 from .lags import row_ids
 from .project import fill
@@ -51,9 +52,9 @@ def facility_pairs(places: DataFrame, facilities: DataFrame, radius: float, open
     """Pairs in the radius with distance, direction source to place, severity and decay.
 
     places: place, x, y; facilities: facility_id, amount, chemical_count, sx, sy. Scales
-    of severity come from the pairs themselves, one row.
+    of severity come from the pairs themselves, one row; the pairs are stored for that.
     """
-    pairs = distance_join(places, facilities, radius, open_at_zero=open_at_zero)
+    pairs = written(distance_join(places, facilities, radius, open_at_zero=open_at_zero), "pairs")
     scale = scale_of(pairs)
     dx, dy, d = F.col("x") - F.col("sx"), F.col("y") - F.col("sy"), F.col("dist_m")
     severity = 0.7 * clip01(F.col("amount") / F.col("amount_scale")) + 0.3 * clip01(F.col("chemical_count") / F.col("count_scale"))
@@ -150,12 +151,12 @@ def nearest_far(places: DataFrame, parts: DataFrame, radius: float) -> DataFrame
     if box[0] is None or here[0] is None:
         return found
     reach = max(box[1], here[1]) - min(box[0], here[0]) + max(box[3], here[3]) - min(box[2], here[2]) + radius
-    left = places.select("place", "x", "y").cache()
+    left = places.select("place", "x", "y")
     while radius < 4 * reach and not left.isEmpty():
         radius *= 4
-        near = road_parts_near(left, parts, radius).groupBy("place").agg(F.min("dist_m").alias("d")).cache()
+        near = written(road_parts_near(left, parts, radius).groupBy("place").agg(F.min("dist_m").alias("d")), "near")
         found = found.unionByName(near)
-        left = left.join(near.select("place"), "place", "left_anti").cache()
+        left = written(left.join(near.select("place"), "place", "left_anti"), "left")
     return found
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import scaled
 from ..functions.normalize import number
+from ..session import written
 
 #: exact distinct counts per aggregation
 DISTINCT_GROUP = 8
@@ -125,12 +126,43 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return df.groupBy(*keys).agg(first).select(*[F.col(c) if c in keys else F.col(f"f.{c}").alias(c) for c in df.columns])
 
 
+def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
+    """The quantile by linear interpolation between neighbours, NULL and NaN left out; None without a value.
+
+    Values are counted first, so a frequent one costs a row a task; the distinct ones are
+    range-partitioned and stored. Row counts a partition tell which one or two hold the
+    wanted ranks, and only these are numbered.
+    """
+    value = F.col(column).cast("double")
+    counts = df.select(value.alias("v")).filter("v is not null and not isnan(v)").groupBy("v").agg(F.count("*").alias("n"))
+    stored = written(counts.repartitionByRange("v").sortWithinPartitions("v").withColumn("p", F.spark_partition_id()), "counts")
+    parts = sorted(tuple(r) for r in stored.groupBy("p").agg(F.sum("n")).collect())
+    total = sum(n for _, n in parts)
+    if not total:
+        return None
+    rank = share * (total - 1)
+    wanted = sorted({int(rank), min(int(rank) + 1, total - 1)})
+    found, before = [], 0
+    for p, n in parts:
+        here = [w for w in wanted if before <= w < before + n]
+        if here:
+            upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + F.lit(before)
+            rows = stored.filter(F.col("p") == p).select("v", "n", upto.alias("upto"))
+            got = rows.agg(*[F.max(F.when((F.col("upto") > w) & (F.col("upto") - F.col("n") <= w), F.col("v"))) for w in here]).first()
+            found += list(got)
+        before += n
+    return found[0] + (found[-1] - found[0]) * (rank - int(rank))
+
+
 def scale_of(pairs: DataFrame, amount: str = "amount", count: str = "chemical_count") -> DataFrame:
-    """One row: the 0.95 quantile of amounts over the pairs, at least 1 if it isn't positive, and the largest count, at least 1."""
-    q = F.percentile(amount, F.lit(0.95))
-    high = F.max(amount)
-    fallback = F.greatest(F.coalesce(high, F.lit(1.0)), F.lit(1.0))
-    return pairs.agg(F.when(q.isNull() | F.isnan(q) | (q <= 0), fallback).otherwise(q).alias("amount_scale"), F.greatest(F.coalesce(F.max(count).cast("double"), F.lit(1.0)), F.lit(1.0)).alias("count_scale"))
+    """One row: the 0.95 quantile of amounts over the pairs, at least 1 if it isn't positive, and the largest count, at least 1.
+
+    ``pairs`` is read twice, so it should be a stored table.
+    """
+    high, most = pairs.agg(F.max(F.nanvl(F.col(amount).cast("double"), F.lit(None).cast("double"))), F.max(count)).first()
+    q = exact_quantile(pairs, amount, 0.95)
+    scale = q if q is not None and q > 0 else max(high or 1.0, 1.0)
+    return pairs.sparkSession.range(1).select(F.lit(float(scale)).alias("amount_scale"), F.lit(float(max(most or 1, 1))).alias("count_scale"))
 
 
 def modal_step(df: DataFrame, time: str) -> DataFrame:

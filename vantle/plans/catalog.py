@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import features, normalize, spatial
 from ..operators import impact, joins, lags, ml, project, quality, stats, tensor
+from ..session import written
 from . import demo, pipelines
 from .demo import FEEDS_SQL, PLACES_SQL
 
@@ -375,7 +376,7 @@ def varying_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("severity_scale", PAIRS.format(zero="dist_m > 0") + " SELECT round(amount_scale, 6) AS amount_scale, count_scale::DOUBLE AS count_scale FROM sc")
 def severity_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = joins.distance_join(demo.places(spark, sf_dir), _facilities(spark, sf_dir), 6000.0, open_at_zero=True)
-    return shown(stats.scale_of(pairs))
+    return shown(stats.scale_of(written(pairs, "pairs")))
 
 
 GRID = """g AS (SELECT user_id AS zip, date_trunc('hour', ts) AS time FROM events),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.features import with_calendar, with_directions
 from ..functions.normalize import direction_columns, numeric_columns, parse_time, zip_first_digits
 from ..operators import impact, joins, lags, project, stats, tensor
+from ..session import written
 
 #: Columns that pruning leaves alone unless told otherwise.
 KEEP_VARIANCE = ("time", "zip", "road_impact_score", "facility_impact_score")
@@ -99,7 +100,7 @@ def prune(df: DataFrame, config: FeatureConfig, report: Report) -> DataFrame:
     """Cardinality and variance pruning; both statistics look at the table before either removed a column."""
     if config.cardinality_threshold is None and config.variance_threshold is None:
         return df
-    df = df.cache()
+    df = written(df, "features")
     kept = df.columns
     if config.cardinality_threshold is not None:
         _, low = report.timed("cardinality_filter", lambda: stats.prune_low_cardinality(df, config.cardinality_threshold, config.keep_cardinality))
@@ -125,7 +126,7 @@ def batch_features(left: DataFrame, right: DataFrame, row_order: Sequence[str],
         out = impact.attach_static(out, static, config.key)
     out = with_directions(with_calendar(out, config.time, year=True, weekend_of_missing=0), config.directions, config.detect_directions, config.drop_directions)
     if config.variance_threshold is not None:
-        out = out.cache()
+        out = written(out, "features")
         out, low = report.timed("variance_filter", lambda: stats.prune_low_variance(out, config.variance_threshold, numeric_columns(out), config.keep_variance, False))
         report.notes["low_variance"] = low
     fixed = None

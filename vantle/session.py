@@ -57,11 +57,13 @@ def ship_package(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share.
 
-    The cluster names it in spark.checkpoint.dir; only where that is unset, as in
-    local tests, a folder below the warehouse serves.
+    The cluster names it in spark.checkpoint.dir. Only a local session, as in tests, may
+    leave it unset: then a folder below the warehouse serves.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_vantle"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
