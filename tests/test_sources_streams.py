@@ -148,3 +148,39 @@ def test_stream_join(spark, tmp_path):
     q.stop()
     rows = [tuple(r) for r in spark.table("both_sides").collect()]
     assert ("x", dt.datetime(2024, 1, 1), 1, 1) in rows
+
+
+def test_stored_tables_are_dropped(spark, monkeypatch):
+    from vantle import session
+
+    monkeypatch.setattr(session, "_WRITTEN", [])
+    path = session.written(spark.range(3), "gone").inputFiles()[0]
+    assert session.drop_written(spark) == 1 and not os.path.exists(path.removeprefix("file://"))
+
+
+def test_chemicals_without_an_amount_are_reported(spark):
+    from vantle.plans import geography
+
+    df = spark.createDataFrame([("F", "x")], "`TRIFID` string, `CHEMICAL NAME` string")
+    with pytest.warns(UserWarning, match="no amount column"):
+        assert [tuple(r) for r in geography.chemical_table(df).collect()] == [("F", "x", 1.0)]
+
+
+def test_names_with_odd_characters(spark, tmp_path):
+    box = tmp_path / "in put+1%"
+    box.mkdir()
+    put(box, "jan_1_weather_a+b%20c.csv", 'zip,v\n"x,1",1\ny,2\n')
+    found = feeds.find_files(spark, str(box))["weather"]
+    assert len(found) == 1
+    feeds.ingest(spark, "weather", found, str(tmp_path / "m"), str(tmp_path / "s.json"))
+    assert [(r["zip"], r["v"]) for r in feeds.master(spark, "weather", str(tmp_path / "m"), str(tmp_path / "s.json")).collect()] == [("x,1", "1"), ("y", "2")]
+
+
+def test_failed_batches_are_not_read(spark, tmp_path):
+    box, table, state = str(tmp_path / "in"), str(tmp_path / "master"), str(tmp_path / "state.json")
+    os.mkdir(box)
+    put(box, NAMES[0], "zip,v\na,1\n")
+    feeds.ingest(spark, "air_quality", feeds.find_files(spark, box)["air_quality"], table, state)
+    # rows of a run that ended before its manifest
+    spark.read.option("recursiveFileLookup", True).parquet(table).write.parquet(f"{table}/batch-lost")
+    assert feeds.master(spark, "air_quality", table, state).count() == 1

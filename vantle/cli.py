@@ -13,7 +13,7 @@ from .functions.normalize import by_trimmed_name, name_list, parse_time, strip_a
 from .operators import impact, project, quality, stats
 from .plans import geography, pipelines
 from .plans.report import StepLog
-from .session import local_session, written
+from .session import drop_written, local_session, written
 from .sources import feeds, shapes, tables
 
 ROW = "__row"
@@ -187,7 +187,10 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(arguments)
-    a.run(spark or local_session(int(os.environ.get("VANTLE_CPUS", "8"))), a)
+    own = spark or local_session(int(os.environ.get("VANTLE_CPUS", "8")))
+    a.run(own, a)
+    if spark is None:
+        drop_written(own)
 
 
 if __name__ == "__main__":

@@ -220,6 +220,19 @@ def pair_lookup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(spark, sf_dir).select("place", "facility_count_nearby", "road_count_nearby")
 
 
+@query(
+    "pair_lookup",
+    PAIRS.format(zero="dist_m > 0")
+    + f""", {ROADS_SQL} SELECT place, 'facility' AS kind, facility_id AS source, round(dir_x, 6) + 0.0 AS dir_x, round(dir_y, 6) + 0.0 AS dir_y, round(decay, 6) AS decay, round(severity, 6) AS severity FROM pairs
+UNION ALL SELECT place, 'road', road_id, round(dx / d, 6) + 0.0, round(dy / d, 6) + 0.0, round(exp(-d / 3000), 6), NULL FROM road WHERE d <= 3000 AND d > 0""",
+)
+def pair_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs that the lookup's arrays hold, one row each."""
+    lookup = written(_lookup(spark, sf_dir), "lookup")
+    each = lambda pairs, kind, source, severity: lookup.select("place", F.explode(pairs).alias("p")).select("place", F.lit(kind).alias("kind"), F.col(f"p.{source}").cast("long").alias("source"), "p.dir_x", "p.dir_y", "p.decay", severity.alias("severity"))
+    return shown(each("facility_pairs", "facility", "facility_id", F.col("p.severity")).unionByName(each("road_pairs", "road", "road_id", F.lit(None).cast("double"))))
+
+
 @query(
     "static_scores",
     PAIRS.format(zero="true")
@@ -322,6 +335,15 @@ def variance_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.createDataFrame([(c, one[c], two[c]) for c in MINE[:4]], "column string, normalized double, population double"))
 
 
+@query("variance_with_nan", "SELECT round(var_pop(l_tax) / (max(l_tax) - min(l_tax)) ** 2, 6) AS skipped, NULL::DOUBLE AS propagated, round(var_pop(l_tax), 6) AS population, true AS kept FROM lineitem WHERE l_orderkey % 4 <> 0")
+def variance_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN left out, or making the statistic NaN, which keeps its column whatever the threshold."""
+    rows = demo.table(spark, sf_dir, "lineitem").select("l_orderkey", F.when(F.col("l_orderkey") % 4 == 0, "nan").otherwise(F.col("l_tax").cast("string")).alias("tax"))
+    skipped, propagated = (stats.variances(rows, ["tax"], True, policy)["tax"] for policy in ("skip", "propagate"))
+    kept = "tax" in stats.prune_low_variance(rows, 100.0, ["tax"], nan_policy="propagate")[0].columns
+    return shown(spark.createDataFrame([(skipped, propagated, stats.variances(rows, ["tax"], False)["tax"], kept)], "skipped double, propagated double, population double, kept boolean"))
+
+
 @query("prune_low_variance", "SELECT l_orderkey, l_quantity, l_extendedprice FROM lineitem")
 def prune_low_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = demo.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")

@@ -12,6 +12,7 @@ import io
 import re
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,6 +121,18 @@ def array_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(tables.import_npy(spark, path, ["t_idx", "f_idx", "h_idx"]), 4)
 
 
+@query("tensor_file_round_trip", f"WITH {CELLS} SELECT t_idx, f_idx, h_idx, round(value::DOUBLE, 4) AS value FROM long WHERE t_idx < 20 AND h_idx < 30")
+def tensor_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A block of the tensor as a .pt file; what its storage, sizes and strides say."""
+    folder = shared_folder(spark, "array")
+    block = _cells(spark, sf_dir).filter("t_idx < 20 and h_idx < 30")
+    tables.export_npy(block, f"{folder}/x.npy", (20, 2, 30), ["t_idx", "f_idx", "h_idx"])
+    tables.export_tensor_file(spark, f"{folder}/x.npy", f"{folder}/x.pt")
+    array = tables.import_tensor_file(spark, f"{folder}/x.pt")
+    cells = [(*map(int, i), float(array[tuple(i)])) for i in np.argwhere(~np.isnan(array))]
+    return shown(spark.createDataFrame(cells, "t_idx int, f_idx int, h_idx int, value float"), 4)
+
+
 @query("sequence_layouts", f"WITH {CELLS}, n AS (SELECT floor(count(*) * 0.7::DOUBLE)::INT AS a, floor(count(*) * 0.2::DOUBLE)::INT AS b FROM t), w AS (SELECT count(*) AS w FROM p), s AS (SELECT CASE WHEN t_idx < a THEN 'train' WHEN t_idx < a + b THEN 'val' ELSE 'test' END AS split, CASE WHEN t_idx < a THEN t_idx WHEN t_idx < a + b THEN t_idx - a ELSE t_idx - a - b END AS t, (f_idx * w + h_idx)::INT AS i2, round(value::DOUBLE, 4) AS value FROM long, n, w) SELECT 'batch_first' AS layout, split, 0 AS i0, t AS i1, i2, value FROM s UNION ALL SELECT 'time_first', split, t, 0, i2, value FROM s")
 def sequence_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The observed cells in both layouts of a sequence input."""

@@ -68,8 +68,26 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Folders that this process has written and not dropped.
+_WRITTEN: list[str] = []
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Delete the tables that ``written`` has stored so far; how many. Frames that read them end with it."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+    return n
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: lineage ends there."""
+    """df written as Parquet in the shared folder and read again: lineage ends there.
+
+    The tables stay until ``drop_written`` or the folder's owner deletes them.
+    """
     path = shared_folder(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,9 @@ import csv
 import io
 import json
 import os
+import pickle
+import struct
+import zipfile
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -168,10 +171,45 @@ def import_npy(spark: SparkSession, path: str, index: Sequence[str]) -> DataFram
     return spark.createDataFrame(rows, ", ".join(f"{n} int" for n in index) + ", value float")
 
 
-def export_tensor_file(npy: str, path: str) -> None:
-    """A .pt file of an array file, where torch is installed."""
-    try:
-        import torch
-    except ImportError as missing:
-        raise RuntimeError("writing .pt files needs torch") from missing
-    torch.save(torch.from_numpy(np.load(npy)), path)
+def export_tensor_file(spark: SparkSession, npy: str, path: str) -> None:
+    """A .pt file of an array file, by the public layout that ``torch.load`` reads; torch itself isn't needed.
+
+    An uncompressed zip of the raw little-endian storage, a version, a byte order, and a
+    pickle that rebuilds the tensor from the storage, its sizes and its strides.
+    """
+    array = np.ascontiguousarray(np.load(io.BytesIO(store.read_bytes(spark, npy))), "<f4")
+    number = lambda n: b"J" + struct.pack("<i", n) if n < 1 << 31 else b"\x8a\x08" + struct.pack("<q", n)
+    text = lambda t: b"X" + struct.pack("<I", len(t)) + t.encode()
+    numbers = lambda values: b"(" + b"".join(map(number, values)) + b"t"
+    storage = b"(" + text("storage") + b"ctorch\nFloatStorage\n" + text("0") + text("cpu") + number(array.size) + b"tQ"
+    arguments = storage + number(0) + numbers(array.shape) + numbers(s // 4 for s in array.strides) + b"\x89" + b"ccollections\nOrderedDict\n)R"
+    pickled = b"\x80\x02ctorch._utils\n_rebuild_tensor_v2\n(" + arguments + b"tR."
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_STORED) as archive:
+        for name, data in (("data.pkl", pickled), ("byteorder", b"little"), ("data/0", array.tobytes()), ("version", b"3\n")):
+            archive.writestr(f"tensor/{name}", data)
+    store.write_bytes(spark, path, content.getvalue())
+
+
+class _TensorPickle(pickle.Unpickler):
+    """Reads the pickle of a .pt file as (storage key, sizes, strides), and no other class."""
+
+    def find_class(self, module: str, name: str) -> object:
+        known = {
+            ("torch._utils", "_rebuild_tensor_v2"): lambda stored, offset, sizes, strides, *rest: (stored, offset, sizes, strides),
+            ("torch", "FloatStorage"): "<f4",
+            ("collections", "OrderedDict"): dict,
+        }
+        return known[module, name]
+
+    def persistent_load(self, pid: tuple) -> tuple:
+        return pid
+
+
+def import_tensor_file(spark: SparkSession, path: str) -> np.ndarray:
+    """The array of a .pt file with one float32 tensor."""
+    with zipfile.ZipFile(io.BytesIO(store.read_bytes(spark, path))) as archive:
+        (inside,) = [n for n in archive.namelist() if n.endswith("/data.pkl")]
+        stored, offset, sizes, strides = _TensorPickle(io.BytesIO(archive.read(inside))).load()
+        flat = np.frombuffer(archive.read(f"{inside[:-8]}data/{stored[2]}"), stored[1])
+    return np.lib.stride_tricks.as_strided(flat[offset:], sizes, [4 * s for s in strides]).copy()
