@@ -2,10 +2,12 @@
 
 import math
 import random
+import re
 import string
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vantle.llm import knn, labels, queries, toxicity
@@ -102,7 +104,7 @@ def test_hidden_words():
 
 def slow_features(lexicon, text):
     """The features of one text, word by word."""
-    words = text.split()
+    words = re.findall("[^\x20\x09-\x0d]+", text)
     if not words:
         return [0.0] * len(toxicity.FEATURES)
     strength = lambda w: max(lexicon.get(w, 0.0), *(lexicon.get(w[:n] + "*", 0.0) for n in toxicity.PREFIXES))
@@ -151,6 +153,21 @@ def test_toxicity_query_equals_slow_scores(spark, sf):
         assert got[i]["score"] == pytest.approx(want, abs=1e-6) and got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
 
 
+def test_features_equal_slow_ones():
+    rng = random.Random(6)
+    parts = ["you", "idiot", "id1ot", "IDIOT!", "stuuupid", "loweischaft", " ", "\n", "\t", "  ", "river,", "YOU", "é!", "日本", "\xa0", "?", "!!", "tu", "$tupid", "..."]
+    texts = ["", " ", "\n\t", *("".join(rng.choice(parts) + rng.choice(["", " ", "\n"]) for _ in range(rng.randint(0, 60))) for _ in range(300))]
+    lexicon = {"idiot": 2.0, "stupid": 1.5, "lowe*": 1.0, "rive*": 0.7}
+    for limit in (400_000, 10):
+        table = toxicity.WordTable(lexicon, limit)
+        for part in (texts, texts[:7], texts[100:], []):
+            got = table.matrix(part)
+            assert got.shape == (len(part), len(toxicity.FEATURES))
+            for row, text in zip(got, part, strict=True):
+                assert row.tolist() == pytest.approx(slow_features(lexicon, text)), repr(text)
+    assert (table.matrix(pa.array(texts).slice(40, 30)) == table.matrix(texts[40:70])).all()
+
+
 def test_folds_do_not_choose_their_own_terms(spark):
     # a word of one fold's toxic texts alone is in the whole lexicon, but not in that fold's
     fold = {r["id"]: r["f"] for r in spark.range(4000).withColumn("f", toxicity._fold("id")).collect()}

@@ -18,6 +18,7 @@ equal texts have equal scores; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -26,10 +27,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, texts_of, written
+from .common import text_arrays, text_batches, texts_of, written
 from .labels import MAX_LABELLED, labelled_texts
 
 #: Plain insults, and second-person words, of four languages.
@@ -59,66 +61,123 @@ MAX_LEXICON = 4_000
 def plain_forms(word: str) -> tuple[str, str, bool]:
     """(lower case without edge signs, the same with hidden letters restored, whether any were hidden)."""
     bare = word.strip(EDGE).lower()
-    hidden = bool(INNER.search(word.strip(".,;:!?"))) or bool(STRETCHED.search(bare))
+    hidden = not word.isalpha() and bool(INNER.search(word.strip(".,;:!?"))) or bool(STRETCHED.search(bare))
     if not hidden:
         return bare, bare, False
     restored = STRETCHED.sub(r"\1", re.sub(r"[^\w]|_", "", word.lower().strip(".,;:!?").translate(LETTERS)))
     return bare, restored, True
 
 
+#: Words stand between ASCII white space.
+WORDS = re.compile("[^\x20\x09-\x0d]+").findall
+
+
 def terms_of(text: str) -> set[str]:
     """Distinct words and word beginnings ("lowe*") of a text."""
-    words = {plain_forms(w)[1] for w in set(text.split())}
+    words = {plain_forms(w)[1] for w in set(WORDS(text))}
     words.discard("")
     return words.union(w[:n] + "*" for w in words for n in PREFIXES if len(w) > n)
 
 
+LEXICAL, PERSON, CAPITAL, HIDDEN, FOUND = (1 << k for k in range(5))
+
+
 class WordTable:
-    """Per raw word: what the features need, worked out once. Starts anew beyond ``limit`` words."""
+    """Per raw word: what the features need, worked out once.
+
+    A word has a code, the place of its strength and flags among all that occur. Words are
+    held in two generations of half of ``limit``: one met again moves to the young one, so
+    frequent words stay when the old one goes.
+    """
 
     def __init__(self, lexicon: dict[str, float], limit: int = 400_000):
         self.lexicon, self.limit = lexicon, limit
-        self.codes: dict[str, tuple[float, int]] = {}
+        self.young: dict[str, int] = {}
+        self.old: dict[str, int] = {}
+        self.number: dict[tuple[float, int], int] = {}
 
     def strength(self, word: str) -> float:
         get = self.lexicon.get
         return max(get(word, 0.0), *(get(word[:n] + "*", 0.0) for n in PREFIXES))
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.codes) > self.limit:
-            self.codes = {}
-        for w in words.difference(self.codes):
-            bare, restored, hidden = plain_forms(w)
-            open_, found = self.strength(bare) if bare else 0.0, 0.0
-            if hidden and restored:
-                found = self.strength(restored)
-            flags = (open_ > 0 or found > 0) | (bare in SECOND_PERSON) << 1 | (len(bare) > 1 and w.isupper()) << 2 | hidden << 3 | (found > open_) << 4
-            self.codes[w] = max(open_, found), flags
-
-    def features(self, text: str) -> list[float]:
-        words = text.split()
-        n = len(words)
-        if not n:
-            return [0.0] * len(FEATURES)
-        got = [self.codes[w] for w in words]
-        strength = np.array([s for s, _ in got])
-        flags = np.array([f for _, f in got], np.int64)
-        hit = np.flatnonzero(flags & 1)
-        person = np.concatenate([[0], np.cumsum(flags >> 1 & 1)])
-        near = int((person[np.minimum(n, hit + NEAR + 1)] - person[np.maximum(0, hit - NEAR)] > 0).sum()) if len(hit) else 0
-        raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-        count = np.bincount(raw, minlength=128)
-        size = len(raw)
-        signs = int(count[33:48].sum() + count[58:65].sum())
-        return [
-            len(hit) / n, math.log1p(len(hit)), float(strength.max()), float(strength.sum()) / n, math.log1p(len({words[i] for i in hit})),
-            float(person[-1]) / n, near / n, float((flags >> 2 & 1).sum()) / n, float(count[65:91].sum()) / size, float(count[33]) / n, float(count[63]) / n,
-            signs / size, float((flags >> 3 & 1).sum()) / n, float((flags >> 4 & 1).sum()) / n, math.log1p(n), (size - n) / n,
-        ]
-
-    def matrix(self, texts: list[str]) -> np.ndarray:
-        self.learn(set().union(*(t.split() for t in texts)))
-        return np.array([self.features(t) for t in texts]).reshape(len(texts), len(FEATURES))
+    def _learn(self, w: str) -> int:
+        bare, restored, hidden = plain_forms(w)
+        open_, found = self.strength(bare) if bare else 0.0, 0.0
+        if hidden and restored:
+            found = self.strength(restored)
+        marks = ((open_ > 0 or found > 0, LEXICAL), (bare in SECOND_PERSON, PERSON), (len(bare) > 1 and w.isupper(), CAPITAL), (hidden, HIDDEN), (found > open_, FOUND))
+        return self.number.setdefault((max(open_, found), sum(bit for mark, bit in marks if mark)), len(self.number))
+
+    def _codes(self, words: list[str]) -> np.ndarray:
+        if len(self.young) > self.limit // 2:
+            self.young, self.old = {}, self.young
+        codes = np.fromiter(map(self.young.get, words, itertools.repeat(-1)), np.int64, len(words))
+        for k in np.flatnonzero(codes < 0).tolist():
+            w = words[k]
+            code = self.old.get(w)
+            self.young[w] = codes[k] = self._learn(w) if code is None else code
+        return codes
+
+    def matrix(self, texts: list[str] | pa.Array) -> np.ndarray:
+        """One row of features a text; a text without words has zeros."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        out = np.zeros((len(texts), len(FEATURES)))
+        if not len(texts):
+            return out
+        parts = pc.ascii_split_whitespace(texts)
+        coded = parts.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        index = coded.indices.to_numpy()
+        of = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy())
+        if "" in distinct:  # white space at a text's ends
+            real = index != distinct.index("")
+            index, of = index[real], of[real]
+        size = np.bincount(of, minlength=len(texts))
+        ends = np.cumsum(size)
+        some = np.flatnonzero(size)
+        if not len(some):
+            return out
+        codes = self._codes(distinct)[index]
+        strengths, marks = (np.array(x) for x in zip(*self.number, strict=True))
+        strength, flags = strengths[codes], marks[codes]
+        starts = (ends - size)[some]
+        total = lambda values: np.add.reduceat(values, starts)
+        count = lambda bit: total((flags & bit > 0).astype(np.int64))
+        n = size[some]
+        hit = np.flatnonzero(flags & LEXICAL)
+        person = np.concatenate([[0], np.cumsum(flags & PERSON > 0)])
+        first, last = (ends - size)[of[hit]], ends[of[hit]]
+        close = person[np.minimum(last, hit + NEAR + 1)] - person[np.maximum(first, hit - NEAR)] > 0
+        hits = np.bincount(of[hit], minlength=len(texts))[some]
+        kinds = np.unique(of[hit] * len(distinct) + index[hit]) // len(distinct)
+        bytes_, counted = byte_counts(texts, (UPPER, EXCLAMATION, QUESTION, SIGN))
+        bytes_, (upper, exclamations, questions, signs) = bytes_[some], counted[:, some]
+        out[some] = np.stack([
+            hits / n, np.log1p(hits), np.maximum.reduceat(strength, starts), total(strength) / n, np.log1p(np.bincount(kinds, minlength=len(texts))[some]),
+            count(PERSON) / n, np.bincount(of[hit[close]], minlength=len(texts))[some] / n, count(CAPITAL) / n, upper / bytes_, exclamations / n, questions / n,
+            signs / bytes_, count(HIDDEN) / n, count(FOUND) / n, np.log1p(n), (bytes_ - n) / n,
+        ], 1)
+        return out
+
+
+def _byte_set(chars: str) -> np.ndarray:
+    out = np.zeros(256, np.int8)
+    out[list(chars.encode())] = 1
+    return out
+
+
+UPPER, EXCLAMATION, QUESTION, SIGN = (_byte_set(x) for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "!", "?", "!\"#$%&'()*+,-./:;<=>?@"))
+
+
+def byte_counts(texts: pa.Array, sets: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of each text, how many of them are in each of the sets)."""
+    plain = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + len(plain) + 1]
+    raw = np.frombuffer(plain.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    ends = offsets - offsets[0]
+    reach = [np.concatenate([[0], np.cumsum(members[raw], dtype=np.int64)])[ends] for members in sets]
+    return np.diff(ends), np.array([np.diff(r) for r in reach])
 
 
 @dataclass
@@ -268,8 +327,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [WordTable(x, 100_000) for x in without]
-        for part, texts in text_batches(batches):
-            x = np.concatenate([tables[k].matrix([t]) for t, k in zip(texts, part.column(3).to_pylist(), strict=True)]) if texts else np.zeros((0, len(FEATURES)))
+        for part, texts in text_arrays(batches, most=4 << 20):
+            fold = part.column(3).to_numpy()
+            x = np.zeros((len(texts), len(FEATURES)))
+            for k in folds:
+                x[fold == k] = tables[k].matrix(texts.filter(pa.array(fold == k)))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), *(pa.array(x[:, k]) for k in range(len(FEATURES)))], names=["doc_id", "label", "fold", *FEATURES])
 
     got = sample.mapInArrow(features, "doc_id long, label int, fold int, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow().sort_by("doc_id")
@@ -291,7 +353,7 @@ def score(df: DataFrame, model: Scorer, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(sent.value.lexicon)
-        for part, texts in text_batches(batches):
+        for part, texts in text_arrays(batches, most=4 << 20):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sent.value.calibrated(table.matrix(texts)))], names=["doc_id", "score"])
 
     return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, score double")
