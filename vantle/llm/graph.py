@@ -3,9 +3,10 @@
 Each step replaces every vertex's links by links to the least vertex it knows, so
 stars grow until every component is one star around its least member. A step is an
 aggregation with map-side partial minima and a join, never a group in memory; its
-edges are written to the shared folder, so lineage stays short. The joins are sort-merge
-joins at every size: adaptive execution splits the rows of a hub, the centre of a very
-large star, over several tasks there.
+edges are written to the shared folder, so lineage stays short.
+
+The centre of a large star is one key of the join. Its links are therefore dealt to
+SALTS keys by their other end, and every vertex's least is handed out once a salt.
 """
 
 from __future__ import annotations
@@ -15,6 +16,17 @@ from pyspark.sql import functions as F
 
 from .common import written
 
+#: Tasks that share one vertex's links.
+SALTS = 16
+
+
+def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """links (u, v) with the m of their u from least (u, m), without all links of one vertex in one task."""
+    dealt = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    handed = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # never broadcast: after the hand-out it is many times what its size before tells
+    return dealt.join(handed.hint("merge"), ["u", "salt"]).drop("salt")
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): the least vertex reachable from each vertex that has a link; edges may repeat or be loops."""
@@ -24,9 +36,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _with_least(both, least).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low.hint("merge"), "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").filter("u <> v").distinct()
+        small = _with_least(large, low).select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").filter("u <> v").distinct()
         e = written(small, "edges")
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v") % 1_000_003)).first()
         if now == seen:
