@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import features, normalize, spatial
-from ..operators import impact, joins, lags, ml, project, quality, stats, tensor
+from ..operators import impact, joins, lags, project, quality, stats, tensor
 from ..session import written
 from . import demo, pipelines
 from .demo import FEEDS_SQL, PLACES_SQL
@@ -572,13 +572,6 @@ def sequence_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tensor.sequence_rows(values, 2, people)
 
 
-@query("principal_components")
-def principal_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components that keep 95 % of the variance; signs are arbitrary, so there is no oracle."""
-    rows = demo.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    return ml.principal_components(rows, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 0.95, ["l_orderkey", "l_linenumber"])[0]
-
-
 @query("union_of_feeds", f"WITH {FEEDS_SQL} SELECT zip, {TIME}, latitude FROM aq UNION ALL SELECT zip, {TIME}, latitude FROM wx")
 def union_of_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.tables import concat_tables

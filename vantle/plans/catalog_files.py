@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from .. import cli
 from ..functions import normalize
-from ..operators import impact, joins, project, tensor
+from ..operators import impact, joins, ml, project, tensor
 from ..session import shared_folder
 from ..sources import feeds, shapes, store, tables
 from ..streaming import feeds as streams
@@ -373,11 +373,9 @@ p AS (SELECT 0 AS n, 0.0::DOUBLE AS a, 1.0::DOUBLE AS b, 0.0::DOUBLE AS c, 0.0::
     SELECT n, """ + ", ".join(f"k{i}1 * a + k{i}2 * b + k{i}3 * c + k{i}4 * d AS {v}" for i, v in enumerate("wxyz", 1)) + """ FROM p, k WHERE n < 12)))"""
 
 
-@query("principal_component", f"WITH RECURSIVE {PRICES} SELECT l_orderkey, l_linenumber, round(abs(a * (l_quantity - m1) + b * (l_extendedprice - m2) + p.c * (l_discount - m3) + d * (l_tax - m4)), 3) AS pc1, round(abs(a), 9) AS loading_quantity, round(abs(b), 9) AS loading_price FROM lineitem, c, p WHERE n = 12")
-def principal_component(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("principal_components", f"WITH RECURSIVE {PRICES} SELECT l_orderkey, l_linenumber, round(abs(a * (l_quantity - m1) + b * (l_extendedprice - m2) + p.c * (l_discount - m3) + d * (l_tax - m4)), 3) AS pc1, round(abs(a), 9) AS loading_quantity, round(abs(b), 9) AS loading_price FROM lineitem, c, p WHERE n = 12")
+def principal_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component that keeps 95 % of the variance, without its arbitrary sign; SQL finds it by power iteration."""
-    from ..operators import ml
-
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     rows = demo.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *names)
     out, about = ml.principal_components(rows, names, 0.95, ["l_orderkey", "l_linenumber"])
