@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vantle.llm import bpe, lengths, packing, queries, tokenio
-from vantle.llm.common import UnitTable, file_bytes
+from vantle.llm.common import UnitTable, cut_signs, file_bytes
 from vantle.llm.vocabulary import LibraryEncoder
 
 RANKS, BYTES, WORDS = (P.path(n) for n in ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "word_bpe_49k.json"))
 ODD = [
+    "foo…. x", "foo“. y", "a²., b", "３. x", "Ⅷ., y", "の. z", "x.́ y", "≠. q", "-- x", "x -- \n-- y", "\n--", "foo'. bar", "foo's. bar", "a.' b", "ǅ. ß! É?", "ο. π ж! Й,", "a.b.c. (d) [e]; {f}!?",
     None, "", " ", "\n", "  ", "a  b", "\n\n a", "a\tb \t c", "it's he'll\r\n\r\nx", "aaaa" * 400, "　x\x1cy z", "Привет ΑΣ Σ. мир 日本語 😀😀 é", "  lead", "trail  ", "<|endoftext|> <|startoftext|>", "a\n", "\na",
     "Ünïcode, ÀÉÿ; über. µª", "word " * 3000, "Zeile eins.\nZeile zwei.", "\x00\x01 \x7f",
 ]
@@ -236,7 +237,7 @@ def test_units_met_again_are_kept():
     for k in range(50):
         got = table.encode([f"often w{k} x{k}", "often  twice"])
         assert np.frombuffer(got[0], "<u4").tolist() == [5, 2 + len(str(k)), 2 + len(str(k))] and got[1] == b"whole"
-    assert made.count("often") == made.count(" often") == 1 and len(made) == 103 and len(table.young.places) + len(table.old.places) <= 48
+    assert made.count("often") == 1 and made.count(" often") == 0 and len(made) == 102 and len(table.young.places) + len(table.old.places) <= 48
     assert table.counts(pa.array(["often w1", ""])).tolist()[0] == 2
 
 
@@ -252,3 +253,21 @@ def test_long_unbroken_pieces(part):
     got = replay.encode([p.encode() for p in pieces])
     assert time.process_time() - began < 20
     assert [x.tolist() for x in got] == [library.encode_ordinary(p) for p in pieces]
+
+
+def test_signs_are_cut_where_they_stand_alone():
+    units = pa.array(["foo,", "foo", "", "--", "a.b.!", "é!", "…!", "foo'.", "の.", "x\t.", "9%", ","])
+    for bare_alone, alone in ((True, ("", "--")), (False, ("--", ""))):
+        bare, signs = cut_signs(units.slice(1, 11), bare_alone)
+        assert list(zip(bare.to_pylist(), signs.to_pylist(), strict=True)) == [
+            ("foo", ""), ("", ""), alone, ("a.b", ".!"), ("é", "!"), ("…!", ""), ("foo'.", ""), ("の.", ""), ("x\t.", ""), ("9", "%"), ("", ",") if bare_alone else (",", ""),
+        ]
+
+
+def test_other_patterns_are_split_whole():
+    content = file_bytes(RANKS)
+    encoder = bpe.PieceEncoder(content, r"\s+|[^\s]+")
+    library = tiktoken.Encoding("own", pat_str=r"\s+|[^\s]+", mergeable_ranks=bpe.parse_ranks(content), special_tokens={})
+    texts_ = ["foo, bar.\nbaz", "a  b", ""]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts_)] == [library.encode_ordinary(t) for t in texts_]
+    assert bpe.KNOWN_PATTERN == P.PATTERN

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 from collections.abc import Callable, Iterable, Iterator
 
@@ -30,6 +31,27 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def release() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass  # another C library
+
+
+def released(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, with the memory that its task freed given back at its end: workers live on and share an executor."""
+
+    def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def text_batches(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches whose texts hold about ``most`` bytes, with the texts as Python strings."""
     for batch in batches:
@@ -66,7 +88,7 @@ def keep_rows(df: DataFrame, decide: Callable[[list[str]], list[bool]], text_col
             kept = part.filter(pa.array(decide(texts), pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0)], names=["row"])
 
-    return rows.mapInArrow(run, T.StructType([T.StructField("row", df.schema)])).select("row.*")
+    return rows.mapInArrow(released(run), T.StructType([T.StructField("row", df.schema)])).select("row.*")
 
 
 def file_bytes(path: str) -> bytes:
@@ -108,16 +130,62 @@ def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (reach - size), size) + np.arange(total)
 
 
+#: ASCII signs but the apostrophe. Behind a letter or digit a run of them is a piece of its own for any
+#: encoder that parts letters and digits from signs.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+IS_SIGN = np.zeros(256, bool)
+IS_SIGN[list(SIGNS.encode())] = True
+#: 1 for an ASCII letter or digit, 0 for another ASCII byte, 2 for a byte of a longer letter
+LAST = np.array([2 if b > 127 else int(chr(b).isalnum()) for b in range(256)], np.int8)
+
+
+def strings(start: np.ndarray, size: np.ndarray, raw: np.ndarray) -> pa.Array:
+    """An Arrow array of the byte ranges of ``raw``, each valid UTF-8."""
+    ends = np.concatenate([[0], np.cumsum(size)])
+    return pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(raw[spans(start, size)])])
+
+
+def cut_signs(units: pa.Array, bare_alone: bool) -> tuple[pa.Array, pa.Array]:
+    """(units without the signs at their end, those signs), uncut where the signs may go together with what is before them.
+
+    They go alone behind a letter or digit, and if ``bare_alone`` behind nothing.
+    """
+    units = units.cast(pa.large_string())
+    offsets = np.frombuffer(units.buffers()[1], np.int64)[units.offset : units.offset + len(units) + 1]
+    raw = np.frombuffer(units.buffers()[2] or b"\0", np.uint8)
+    start, size = offsets[:-1], np.diff(offsets)
+    left = size.copy()
+    todo = np.flatnonzero(left)
+    while len(todo):  # one sign a round, of the units that still end with one
+        todo = todo[IS_SIGN[raw[start[todo] + left[todo] - 1]]]
+        left[todo] -= 1
+        todo = todo[left[todo] > 0]
+    cut = np.flatnonzero(left < size)
+    some = cut[left[cut] > 0]
+    last = LAST[raw[start[some] + left[some] - 1]]
+    apart = last == 1
+    for k in np.flatnonzero(last == 2).tolist():
+        at = int(start[some[k]])
+        sign = raw[at : at + int(left[some[k]])].tobytes().decode("utf-8", "replace")[-1]
+        apart[k] = sign.isalnum() and sign < "\u0530"
+    joined = np.concatenate([some[~apart], np.empty(0, np.int64) if bare_alone else cut[left[cut] == 0]])
+    left[joined] = size[joined]
+    return strings(start, left, raw), strings(start + left, size - left, raw)
+
+
 class UnitTable:
     """Encodings of text units, each computed once per worker and looked up afterwards.
 
     A unit is a run without white space, with the one blank or line feed before it.
-    Encoders that never look across such a border give the same result unit by unit
-    as for the whole text. Texts with any other white space layout (double blanks,
-    tabs, ...) are left to ``whole``.
+    Encoders that never look across such a border, nor from a letter or digit to a sign
+    behind it, give the same result piece by piece as for the whole text. Texts with any
+    other white space layout (double blanks, tabs, ...) are left to ``whole``.
 
-    A batch is cut in units and its distinct units are found by Arrow's kernels; only
-    the distinct ones become Python strings, and the texts' ids are gathered by arrays.
+    A batch is cut in units, and its distinct units are found and parted from the signs at
+    their end by Arrow's kernels; only what is distinct then becomes Python strings, and
+    the texts' ids are gathered by arrays.
 
     encode_units: list of unit strings -> all their ids in one array, and how many each has
     whole: text -> bytes
@@ -145,13 +213,19 @@ class UnitTable:
         size = place & 0xFFFFFFFF
         return there, np.concatenate([self.young.ids, self.old.ids])[spans((place >> 32) + offset, size)] if len(there) else np.empty(0, np.uint32), size
 
-    def _heads(self, words: list[str], index: np.ndarray, starts: np.ndarray) -> None:
-        """The texts' first units have no blank before them: they get keys of their own, that begin with one."""
+    def _first(self, index: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+        """Units that a text begins with have no blank before them: in ``index`` they become units of their own behind the ``n`` others; which they are."""
         heads, which = np.unique(index[starts], return_inverse=True)
-        index[starts] = len(words) + which
-        words += [" " + words[k] for k in heads.tolist()]
+        index[starts] = n + which
+        return heads
+
+    #: what stands before the key of a piece that has no blank before it
+    NO_BLANK = " "
+    #: whether signs without a word are a piece of their own, whatever is before them
+    SIGNS_ALONE = False
 
     def _odd(self, key: str) -> bool:
+        """Whether only the whole text can settle it."""
         bare = key[1:] if key[:1] in " \n" else key
         return bare.split() != [bare]
 
@@ -169,7 +243,7 @@ class UnitTable:
         return places
 
     def _places(self, words: list[str]) -> np.ndarray:
-        """Places in the young generation of distinct units, ODD for those that only the whole text can settle."""
+        """Places in the young generation of distinct keys, ODD for those that only the whole text can settle."""
         if len(self.young.places) > self.limit // 2 or self.young.chars > self.limit_chars // 2:
             self.young, self.old = Kept(), self.young
         missing = itertools.repeat(self.MISSING)
@@ -187,19 +261,45 @@ class UnitTable:
             places[todo] = self._learn([words[k] for k in todo.tolist()])
         return places
 
-    def _look_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place of every unit of all texts, end of each text's units, which texts are to be encoded whole)."""
+    def _pieces(self, units: pa.Array, used: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of each used unit's two pieces: the unit without the signs at its end, and the signs. blank: units with a blank before them."""
+        bare, signs = cut_signs(units, self.SIGNS_ALONE)
+        coded = bare.dictionary_encode()
+        names, of = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        ends = signs.dictionary_encode()
+        # a key stands for a piece with a blank before it, or for one without
+        number = np.full(2 * len(names), -1)
+        asked = of + np.where(blank, 0, len(names))
+        keys = np.unique(asked[used])
+        number[keys] = np.arange(len(keys))
+        texts = [names[k] if k < len(names) else self.NO_BLANK + names[k - len(names)] for k in keys.tolist()]
+        tails = ends.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = self._places(texts + [self.NO_BLANK + t for t in tails if t])
+        tail = np.zeros(len(tails), np.int64)
+        tail[[k for k, t in enumerate(tails) if t]] = places[len(texts) :]
+        return places[number[asked]], tail[ends.indices.to_numpy()]
+
+    def _look_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all distinct units, where those of each unit of all texts start there, how many they are, end of each text's units, which texts are to be encoded whole)."""
         parts = pc.split_pattern(pc.replace_substring(texts, "\n", self.LINE), " ")
         ends = np.cumsum(pc.list_value_length(parts).to_numpy())
         starts = np.concatenate([[0], ends[:-1]])
         coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        index = coded.indices.to_numpy().astype(np.int32)
-        self._heads(words, index, starts)
-        places = self._places(words)
-        odd = places < 0
+        units, index = coded.dictionary, coded.indices.to_numpy().astype(np.int32)
+        n = len(units)
+        heads = self._first(index, starts, n)
+        if len(heads):
+            units = pa.concat_arrays([units, units.take(pa.array(heads))])
+        used = np.bincount(index, minlength=len(units)) > 0
+        word, tail = self._pieces(units, used, np.arange(len(units)) < n)
+        odd = used & (word < 0)
         whole = np.logical_or.reduceat(odd[index], starts) if odd.any() else np.zeros(len(texts), bool)
-        return np.where(odd, 0, places)[index], ends, whole
+        pieces = np.where((used & ~odd)[:, None], np.stack([word, tail], 1), 0)
+        size = pieces & 0xFFFFFFFF
+        ids = self.young.ids[spans((pieces >> 32).ravel(), size.ravel())]
+        size = size.sum(1)
+        at = np.cumsum(size) - size
+        return ids, at[index], size[index], ends, whole
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Each text's encoding."""
@@ -207,10 +307,9 @@ class UnitTable:
             texts = pa.array(texts, pa.string())
         if not len(texts):
             return []
-        places, ends, whole = self._look_up(texts)
-        size = (places & 0xFFFFFFFF).astype(np.int32)
-        raw = self.young.ids[spans(places >> 32, size)].tobytes()
-        stops = (4 * np.cumsum(size, dtype=np.int64)[ends - 1]).tolist()
+        ids, at, size, ends, whole = self._look_up(texts)
+        raw = ids[spans(at, size.astype(np.int32))].tobytes()
+        stops = (4 * np.cumsum(size)[ends - 1]).tolist()
         out = [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
         for k in np.flatnonzero(whole).tolist():
             out[k] = self.whole(texts[k].as_py())
@@ -220,8 +319,8 @@ class UnitTable:
         """The number of ids of each text."""
         if not len(texts):
             return np.empty(0, np.int64)
-        places, ends, whole = self._look_up(texts)
-        out = np.diff(np.concatenate([[0], np.cumsum(places & 0xFFFFFFFF)[ends - 1]]))
+        _, _, size, ends, whole = self._look_up(texts)
+        out = np.diff(np.concatenate([[0], np.cumsum(size)[ends - 1]]))
         for k in np.flatnonzero(whole).tolist():
             out[k] = len(self.whole(texts[k].as_py())) // 4
         return out
@@ -231,12 +330,13 @@ class LooseUnitTable(UnitTable):
     """For encoders that drop white space: every blank and line feed is a border, whatever surrounds it."""
 
     LINE = " "
+    NO_BLANK, SIGNS_ALONE = "", True
 
-    def _heads(self, words: list[str], index: np.ndarray, starts: np.ndarray) -> None:
-        pass
+    def _first(self, index: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+        return np.empty(0, np.int64)
 
     def _odd(self, key: str) -> bool:
         return False
 
     def _unit(self, key: str) -> str:
-        return key
+        return key
\ No newline at end of file

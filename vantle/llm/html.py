@@ -29,8 +29,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import bound_arrow, text_batches
+from .common import bound_arrow, released, text_batches
 
 WINDOW, SURGE = 3, 80
 #: what a line outside all declared regions weighs less: beyond this many characters it can surge
@@ -238,12 +239,12 @@ def extract(df: DataFrame, html_col: str = "html", keys: tuple[str, ...] = ("pag
     bound_arrow(df.sparkSession)
     names = [f"_k{i}" for i in range(len(keys))]
     rows = df.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.coalesce(F.col(html_col), F.lit("")).alias("text"))
-    types = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
+    types = T.StructType([*(rows.schema[n] for n in names), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, pages in text_batches(batches):
             got = [main_text(p) for p in pages]
             yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(names))), pa.array(got, pa.string())], names=[*names, "text"])
 
-    found = rows.mapInArrow(run, f"{types}, text string")
+    found = rows.mapInArrow(released(run), types)
     return found.select(*(F.col(n).alias(k) for n, k in zip(names, keys, strict=True)), "text", F.length("text").cast("long").alias("n_chars"))

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import keep_rows, text_batches, texts_of
+from .common import keep_rows, released, text_batches, texts_of
 from .labels import labelled_texts
 
 PAIRS, SHAPES = 1024, 12
@@ -93,7 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
             shares = [term_shares(t).astype("<f2").tobytes() for t in texts]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(shares, pa.binary())], names=["doc_id", "label", "shares"])
 
-    got = labelled_texts(docs, labels, label, most, id_col, text_col).mapInArrow(run, "doc_id long, label int, shares binary").toArrow()
+    got = labelled_texts(docs, labels, label, most, id_col, text_col).mapInArrow(released(run), "doc_id long, label int, shares binary").toArrow()
     if not got.num_rows:
         return Neighbourhood(np.zeros(WIDTH, np.float32), np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
     got = got.sort_by("doc_id")
@@ -117,7 +117,7 @@ def score(df: DataFrame, model: Neighbourhood, neighbours: int = NEIGHBOURS, id_
             shares = np.stack([term_shares(t) for t in texts]) if texts else np.zeros((0, WIDTH), np.float32)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sent.value.scores(shares, neighbours))], names=["doc_id", "score"])
 
-    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return texts_of(df, id_col, text_col).mapInArrow(released(run), "doc_id long, score double")
 
 
 def accept(df: DataFrame, model: Neighbourhood, threshold: float = 0.3, neighbours: int = NEIGHBOURS, text_col: str = "text") -> DataFrame:

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.lags import row_ids
-from .common import text_batches, texts_of, written
+from .common import released, text_batches, texts_of, written
 from .graph import components
 
 TREES, LEAST_DEPTH, DEPTH = 16, 4, 7
@@ -101,7 +101,7 @@ def signatures(df: DataFrame, size: int, id_col: str = "doc_id", text_col: str =
                 signs.append(signature(s).astype(">u4").tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count, pa.int64()), pa.array(prints, pa.binary()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "fingerprint", "signature"])
 
-    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, fingerprint binary, signature binary")
+    return texts_of(df, id_col, text_col).mapInArrow(released(run), "doc_id long, n_shingles long, fingerprint binary, signature binary")
 
 
 def _printed(df: DataFrame, size: int, text_col: str = "text") -> DataFrame:
@@ -113,7 +113,7 @@ def _printed(df: DataFrame, size: int, text_col: str = "text") -> DataFrame:
             sets = (shingle_set(t, size) for t in texts)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())], names=["row", "print"])
 
-    return rows.mapInArrow(run, T.StructType([T.StructField("row", df.schema), T.StructField("print", T.BinaryType())]))
+    return rows.mapInArrow(released(run), T.StructType([T.StructField("row", df.schema), T.StructField("print", T.BinaryType())]))
 
 
 PREFIX = 1 + 4 * LEAST_DEPTH
@@ -239,9 +239,9 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
         a, b = np.concatenate([np.empty((2, 0), np.int64), *(ids[x] for x in _ties(sketches, near)[0])], axis=1)
         return pa.table({"a": a, "b": b})
 
-    rows = classes.select(F.col("node").alias("id"), "signature").mapInArrow(orders, "key binary, id long, sketch binary")
+    rows = classes.select(F.col("node").alias("id"), "signature").mapInArrow(released(orders), "key binary, id long, sketch binary")
     rows = rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
-    found = written(rows.mapInArrow(scan, ROWS), "forest")
+    found = written(rows.mapInArrow(released(scan), ROWS), "forest")
     cut = found.filter("prefix is not null").select("a", "prefix", "sketch").dropDuplicates(["a", "prefix"]).groupBy("prefix").applyInArrow(rejoin, "a long, b long")
     return found.filter("b is not null").select("a", "b").unionByName(cut.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).filter("a <> b").distinct()
 
@@ -345,7 +345,7 @@ def _compare(rows: DataFrame, size: int, percent: int) -> DataFrame:
         finish()
         yield flush()
 
-    return rows.select("chunk", "id", "text", "visitor", "grp").repartition("chunk").sortWithinPartitions("chunk", "visitor").mapInArrow(run, "a long, b long")
+    return rows.select("chunk", "id", "text", "visitor", "grp").repartition("chunk").sortWithinPartitions("chunk", "visitor").mapInArrow(released(run), "a long, b long")
 
 
 def confirmed(docs: DataFrame, links: DataFrame, size: int, percent: int, id_col: str, text_col: str, classes: DataFrame | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import file_bytes, text_arrays, texts_of, written
+from .common import file_bytes, released, text_arrays, texts_of, written
 from .vocabulary import encoder_of
 
 #: Open pieces that one task packs at a time.
@@ -94,7 +94,7 @@ def cut_pieces(df: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id:
             doc = part.column(0).take(pa.array(at, pa.int32()))
             yield pa.RecordBatch.from_arrays([doc, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array(rows, pa.int64())], names=["doc_id", "piece", "start", "length", "ids", "row"])
 
-    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary, row long")
+    return texts_of(df, id_col, text_col).mapInArrow(released(run), "doc_id long, piece int, start long, length long, ids binary, row long")
 
 
 def place(pieces: DataFrame, capacity: int = 2048, group: int = GROUP) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_arrow, text_batches, texts_of, written
+from .common import bound_arrow, released, text_batches, texts_of, written
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
@@ -111,7 +111,7 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             got = np.array([measure_text(t) for t in texts], np.int64).reshape(len(texts), len(MEASURES))
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(got[:, k]) for k in range(len(MEASURES)))], names=["doc_id", *MEASURES])
 
-    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
+    return texts_of(df, id_col, text_col).mapInArrow(released(run), "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
 
 
 def failures_of(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -142,7 +142,7 @@ def accept(df: DataFrame, policy: str = LATEST, rules: tuple[Rule, ...] = RULES,
             got = np.array([measure_text(t) for t in texts], np.int64).reshape(len(texts), len(MEASURES))
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(got[:, k]) for k in range(len(MEASURES)))], names=["row", *MEASURES])
 
-    measured = rows.mapInArrow(run, T.StructType([T.StructField("row", df.schema), *(T.StructField(m, T.LongType()) for m in MEASURES)]))
+    measured = rows.mapInArrow(released(run), T.StructType([T.StructField("row", df.schema), *(T.StructField(m, T.LongType()) for m in MEASURES)]))
     return measured.withColumn("failures", failures_of(rules)).filter(kept_by(policy)).select("row.*")
 
 

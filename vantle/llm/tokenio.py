@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_arrow, file_bytes, shared_folder, text_arrays
+from .common import bound_arrow, file_bytes, released, shared_folder, text_arrays
 from .vocabulary import encoder_of
 
 MAGIC = b"VTLREP01"
@@ -299,7 +299,7 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_at"))
     ordered = rows.repartitionByRange("doc_id", "_at").sortWithinPartitions("doc_id", "_at").select("doc_id", "text")
-    ordered.mapInArrow(run, SHARDS).write.parquet(path)
+    ordered.mapInArrow(released(run), SHARDS).write.parquet(path)
 
 
 def _read(spark: SparkSession, path: str, columns: Callable[[bytes, list[int], list[int]], dict[str, pa.Array]], kinds: str) -> DataFrame:
@@ -323,7 +323,7 @@ def _read(spark: SparkSession, path: str, columns: Callable[[bytes, list[int], l
                     yield pa.RecordBatch.from_pydict(fixed | columns(raw, first, last))
 
     stored = spark.read.schema(SHARDS).parquet(path)
-    return stored.select("shard", "block", "payload").mapInArrow(run, "shard int, block int, position int, doc_id long, local_start long, " + kinds)
+    return stored.select("shard", "block", "payload").mapInArrow(released(run), "shard int, block int, position int, doc_id long, local_start long, " + kinds)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

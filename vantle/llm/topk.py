@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, written
+from .common import released, shared_folder, written
 
 #: Queries that travel to every task at once: with 64 components, 4 MB.
 QUERY_BLOCK = 8192
@@ -86,7 +86,7 @@ def moments(vectors: DataFrame, width: int) -> np.ndarray:
         total = np.nan_to_num(total)  # any rotation will do, the best one only prunes most
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(width), width), pa.int32()), pa.array(np.tile(np.arange(width), width), pa.int32()), pa.array(total.ravel())], names=["i", "j", "v"])
 
-    rows = vectors.select("x").mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    rows = vectors.select("x").mapInArrow(released(run), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
     out = np.zeros((width, width))
     for i, j, v in rows:
         out[i, j] = v
@@ -217,7 +217,7 @@ def top_k(candidates: DataFrame, is_query: Column, k: int = 5, id_col: str = "ve
 
         least = float(needed.min()) if len(needed) else 0.0
         near = vectors.filter(F.col("length") >= least) if least > 0 else vectors
-        return near.select("vec_id", "x").mapInArrow(run, OUT)
+        return near.select("vec_id", "x").mapInArrow(released(run), OUT)
 
     if blocks == 1:
         found = scanned(0)

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_arrays, text_batches, texts_of, written
+from .common import released, text_arrays, text_batches, texts_of, written
 from .labels import MAX_LABELLED, labelled_texts
 
 #: Plain insults, and second-person words, of four languages.
@@ -319,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
         return Scorer({w: 2.0 for w in INSULTS}, None, none, none, float(n1.sum() / max(1.0, n1.sum() + n0.sum())))
     folds = range(FOLDS)
     by_fold = lambda c: [F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}{k}") for k in folds]
-    found = sample.mapInArrow(count, "term string, fold int, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), *by_fold("toxic"), *by_fold("clean"))
+    found = sample.mapInArrow(released(count), "term string, fold int, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), *by_fold("toxic"), *by_fold("clean"))
     found = written(found.filter("toxic >= 2"), "terms")
     # a fold's features come from the other folds' lexicon, so no text vouches for its own words
     without = [_lexicon(found, k, n1.sum() - n1[k], n0.sum() - n0[k], max_lexicon) for k in folds]
@@ -334,7 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
                 x[fold == k] = tables[k].matrix(texts.filter(pa.array(fold == k)))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), *(pa.array(x[:, k]) for k in range(len(FEATURES)))], names=["doc_id", "label", "fold", *FEATURES])
 
-    got = sample.mapInArrow(features, "doc_id long, label int, fold int, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow().sort_by("doc_id")
+    got = sample.mapInArrow(released(features), "doc_id long, label int, fold int, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow().sort_by("doc_id")
     y, fold = got["label"].to_numpy().astype(np.float64), got["fold"].to_numpy()
     x = np.stack([got[f].to_numpy() for f in FEATURES], 1)
     # calibration reads margins of trees that have not seen the row
@@ -356,4 +356,4 @@ def score(df: DataFrame, model: Scorer, id_col: str = "doc_id", text_col: str =
         for part, texts in text_arrays(batches, most=4 << 20):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sent.value.calibrated(table.matrix(texts)))], names=["doc_id", "score"])
 
-    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return texts_of(df, id_col, text_col).mapInArrow(released(run), "doc_id long, score double")

@@ -21,13 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LooseUnitTable, UnitTable, file_bytes, spans, text_arrays, texts_of
+from .common import LooseUnitTable, UnitTable, file_bytes, released, spans, text_arrays, texts_of
 
 
-#: Letters of the Latin-1 range, and ASCII signs but the apostrophe. Letters with such signs after them are
-#: one word piece and one sign piece for any pattern that parts letters from signs, and unchanged by NFC.
+#: Letters of the Latin-1 range: one word piece for any pattern that parts letters from others, and unchanged by NFC.
 LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
-SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_letters() -> dict[int, str]:
@@ -84,41 +82,39 @@ class LibraryEncoder:
         return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(size.sum())), size
 
     def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All units' ids in one array, and how many each has. A unit is a line feed or nothing, a word, and signs or nothing."""
+        """All units' ids in one array, and how many each has. A plain unit is a line feed or nothing, and a word."""
         if not self.direct:
             return self._library(units)
         number: dict[str, int] = {}  # distinct words
-        other: dict[str, int] = {}  # units that aren't of this form
-        signs: dict[str, int] = {"": 0}
-        feeds, of_word, of_sign = bytearray(len(units)), array("q"), array("q")  # of_word is -1 - place in other
+        other: list[str] = []  # units that aren't of this form
+        feeds, of = bytearray(len(units)), array("q")  # of is -1 - place in other
         for k, unit in enumerate(units):
-            word = unit.rstrip(SIGNS)
-            n = len(word)
-            if word[:1] == "\n":
-                word = word[1:]
+            word = unit
+            if unit[:1] == "\n":
+                word = unit[1:]
                 feeds[k] = 1
             bare = word[1:] if word[:1] == " " else word
             if bare.isalpha() and (bare.isascii() or LATIN(bare)):
                 if self.lower:
                     word = word.lower()
-                of_word.append(number.setdefault(word, len(number)))
-                of_sign.append(signs.setdefault(unit[n:], len(signs)) if n < len(unit) else 0)
+                of.append(number.setdefault(word, len(number)))
             else:
-                of_word.append(-1 - other.setdefault(unit, len(other)))
-                of_sign.append(0)
+                of.append(-1 - len(other))
+                other.append(unit)
                 feeds[k] = 0
-        feed, word, sign = np.frombuffer(feeds, np.uint8), np.frombuffer(of_word, np.int64), np.frombuffer(of_sign, np.int64)
+        feed, word = np.frombuffer(feeds, np.uint8), np.frombuffer(of, np.int64)
         words = list(number)
-        ids, size = [], np.zeros(len(words), np.int64)
-        order = np.arange(len(words))
-        if words:
-            # a word met before without these signs is not encoded again
-            keys = words if self.lower else [w[1:] if w[0] == " " else "\n\n" for w in words]
-            there, got, size[there] = self.table.known(keys)
+        ids, size, order = [], np.zeros(len(words), np.int64), np.arange(len(words))
+        if words and self.lower:
+            # the table may know a word in lower case by now
+            there, got, size[there] = self.table.known(words)
             new = np.setdiff1d(order, there, assume_unique=True)
             made, size[new] = self._model([words[k] for k in new.tolist()])
             ids, order = [got, made], np.concatenate([there, new])
-        for more in (list(other), list(signs)[1:], ["\n"] if feed.any() else []):
+        elif words:
+            made, size = self._model(words)
+            ids = [made]
+        for more in (other, ["\n"] if feed.any() else []):
             got, n = self._library(more)
             ids.append(got)
             order, size = np.concatenate([order, len(size) + np.arange(len(n))]), np.concatenate([size, n])
@@ -126,8 +122,7 @@ class LibraryEncoder:
         at = np.zeros(len(size), np.int64)
         at[order] = np.cumsum(size[order]) - size[order]
         nothing = len(size) - 1
-        first_sign = len(words) + len(other) - 1
-        piece = np.stack([np.where(feed, nothing - 1, nothing), np.where(word < 0, len(words) - 1 - word, word), np.where(sign, first_sign + sign, nothing)], 1)
+        piece = np.stack([np.where(feed, nothing - 1, nothing), np.where(word < 0, len(words) - 1 - word, word)], 1)
         return np.concatenate(ids)[spans(at[piece].ravel(), size[piece].ravel())], size[piece].sum(1)
 
     def _whole(self, text: str) -> bytes:
@@ -169,7 +164,7 @@ def token_counts(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", tex
             counts = encoder.counts(texts)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64())], names=["doc_id", "n_tokens"])
 
-    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long")
+    return texts_of(df, id_col, text_col).mapInArrow(released(run), "doc_id long, n_tokens long")
 
 
 def crc_column(ids: str = "ids"):
