@@ -308,7 +308,7 @@ def _encoder(content: bytes, pattern: str) -> PieceEncoder:
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = PieceEncoder(content, pattern)
-        gc.disable()  # the tables hold no cycles, and walking them costs more than it frees
+    gc.disable()  # until the task's end: the tables hold no cycles, and walking them costs more than it frees
     return _ENCODERS[key]
 
 

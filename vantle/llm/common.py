@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import itertools
 from collections.abc import Callable, Iterable, Iterator
 
@@ -31,7 +32,7 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def release() -> None:
+def trim() -> None:
     """Give freed memory back to the system."""
     pa.default_memory_pool().release_unused()
     try:
@@ -40,6 +41,12 @@ def release() -> None:
         pass  # another C library
 
 
+def release() -> None:
+    """What a task does at its end: give freed memory back, and collect cycles again if it didn't."""
+    gc.enable()
+    trim()
+
+
 def released(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """run, with the memory that its task freed given back at its end: workers live on and share an executor."""
 

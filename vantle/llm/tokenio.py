@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_arrow, file_bytes, released, shared_folder, text_arrays
+from .common import bound_arrow, file_bytes, released, shared_folder, text_arrays, trim
 from .vocabulary import encoder_of
 
 MAGIC = b"VTLREP01"
@@ -283,6 +283,7 @@ def write_ids(df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id
 
         def row() -> pa.RecordBatch:
             data = payload(np.frombuffer(b"".join(held), "<u4"), docs)
+            trim()  # compression takes many times a shard's size
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([total], pa.int64()), pa.array([len(docs)], pa.int64()), pa.array([data], pa.binary())], names=["shard", "block", "n_ids", "n_docs", "payload"])
 
         for part, texts in text_arrays(batches):

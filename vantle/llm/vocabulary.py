@@ -150,7 +150,7 @@ def encoder_of(content: bytes) -> LibraryEncoder:
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = LibraryEncoder(content)
-        gc.disable()  # the tables hold no cycles, and walking them costs more than it frees
+    gc.disable()  # until the task's end: the tables hold no cycles, and walking them costs more than it frees
     return _ENCODERS[key]
 
 
