@@ -37,10 +37,23 @@ def shape(df: DataFrame, time: str, place: str, features: Sequence[str]) -> tupl
 
 
 def dense_slices(observed: DataFrame, n_places: int) -> DataFrame:
-    """(t_idx, f_idx, values array<float>): places in order, NULL where nothing was observed."""
-    entries = F.map_from_entries(F.collect_list(F.struct("h_idx", "value")))
-    grouped = observed.groupBy("t_idx", "f_idx").agg(entries.alias("m"))
-    return grouped.select("t_idx", "f_idx", F.transform(F.sequence(F.lit(0), F.lit(n_places - 1)), lambda h: F.try_element_at("m", h)).alias("values"))
+    """(t_idx, f_idx, values array<float>): places in order, NULL where nothing was observed. A cell seen twice raises.
+
+    A slice's cells are sorted by place and each brings the NULLs before it, so a slice costs
+    its cells and places, not their product.
+    """
+    inside = observed.filter(F.col("h_idx").between(0, n_places - 1))
+    grouped = inside.groupBy("t_idx", "f_idx").agg(F.array_sort(F.collect_list(F.struct("h_idx", "value"))).alias("m"))
+    none = F.lit(None).cast("float")
+    last = lambda i: F.when(i > 0, F.get("m", i - 1)["h_idx"]).otherwise(-1)
+
+    def piece(cell: Column, i: Column) -> Column:
+        gap = cell["h_idx"] - last(i) - 1
+        twice = F.raise_error(F.lit("a cell occurs twice in a slice")).cast("int")
+        return F.concat(F.array_repeat(none, F.when(gap < 0, twice).otherwise(gap)), F.array(cell["value"].cast("float")))
+
+    rest = F.array_repeat(none, F.lit(n_places - 1) - last(F.size("m")))
+    return grouped.select("t_idx", "f_idx", F.concat(F.flatten(F.transform("m", piece)), rest).alias("values"))
 
 
 def split_sizes(n: int, train: float, val: float, test: float | None = None) -> tuple[int, int, int]:
