@@ -4,11 +4,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vantle.llm import graph, knn, minhash, queries, rules
+from vantle.session import written
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -171,6 +173,51 @@ def test_links_are_whole():
     assert set(map(frozenset, links)) <= set(map(frozenset, every)) and merge(links) == merge(every) and len(links) < len(sets)
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    """A star is stored once and a long path takes rounds by its length's logarithm; vertices of many links and many components."""
+    stored = []
+    monkeypatch.setattr(graph, "written", lambda df, name: stored.append(name) or written(df, name))
+
+    def found(pairs: list[tuple[int, int]]) -> tuple[dict[int, int], int]:
+        stored.clear()
+        rows = graph.components(spark.createDataFrame(pairs, "a long, b long").repartition(7)).collect()
+        got = {r["id"]: r["component"] for r in rows}
+        assert len(got) == len(rows)
+        return got, len(stored)
+
+    assert found([(0, k) for k in range(1, 3000)]) == ({k: 0 for k in range(3000)}, 1)
+    hub, rounds = found([(k, 3000) for k in range(3000)])
+    assert hub == {k: 0 for k in range(3001)} and rounds <= 4
+    rng = random.Random(5)
+    name = rng.sample(range(10_000), 2000)
+    path, rounds = found([(name[k], name[k + 1]) for k in range(1999)])
+    assert path == {k: min(name) for k in name} and rounds <= 14
+    pairs = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(1700)]
+    root = {k: k for p in pairs for k in p}
+
+    def up(k: int) -> int:
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in pairs:
+        a, b = sorted((up(a), up(b)))
+        root[b] = a
+    alone = {a for a, b in pairs if a == b} - {k for p in pairs if p[0] != p[1] for k in p}
+    assert found(pairs)[0] == {k: up(k) for k in root if k not in alone}
+
+
+def test_stars_in_parts(monkeypatch):
+    """Links joined a few at a time give what they give at once, and which vertices came as a u."""
+    monkeypatch.setattr(graph, "AT_ONCE", 3)
+    links = [(9, 4), (4, 2), (8, 7), (12, 9), (7, 2), (20, 15), (30, 20), (30, 1), (15, 2)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([a for a, _ in links[i : i + 2]]), pa.array([b for _, b in links[i : i + 2]])], names=["u", "v"]) for i in range(0, len(links), 2)]
+    u, v, own = graph._joined(iter(batches))
+    assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {k: 1 for k in (2, 4, 7, 8, 9, 12, 15, 20, 30)}
+    assert u[~own].tolist() == [2]
+    assert [len(x) for x in graph._joined(iter([]))] == [0, 0, 0]
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7)]

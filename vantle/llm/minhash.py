@@ -349,7 +349,7 @@ def _compare(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def confirmed(docs: DataFrame, links: DataFrame, size: int, percent: int, id_col: str, text_col: str, classes: DataFrame | None = None) -> DataFrame:
-    """(a, b): links confirmed on full sets, as many as keep every group whole.
+    """(a, b): links that make the groups that links confirmed on full sets make: these links, or from a document to its group's least.
 
     Links are between doc_ids or, with ``classes`` (node, rep, fingerprint), between nodes:
     of a doc_id's texts the one with the class's fingerprint counts.
@@ -387,7 +387,7 @@ def confirmed(docs: DataFrame, links: DataFrame, size: int, percent: int, id_col
     visits = outside.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))).filter("copy <> own")
     hosts = marked.join(outside.select("component").distinct(), "component", "left_semi")
     met = _compare(as_rows(hosts, "own", False, F.col("g")).unionByName(as_rows(visits, "copy", True, F.col("g"))), size, percent)
-    return first.unionByName(met)
+    return groups.select(F.col("id").alias("a"), F.col("g").alias("b")).unionByName(met)
 
 
 def _anchors(many: DataFrame, degree: DataFrame) -> DataFrame:
