@@ -241,6 +241,18 @@ def test_units_met_again_are_kept():
     assert table.counts(pa.array(["often w1", ""])).tolist()[0] == 2
 
 
+def test_only_words_changed_by_lower_case_are_asked_for_again():
+    encoder = LibraryEncoder(file_bytes(WORDS))
+    asked, known = [], encoder.table.known
+    encoder.table.known = lambda keys: asked.extend(keys) or known(keys)
+    first, then = ["alpha Beta gamma", "beta Alpha \u00c9T\u00c9 \u00e9t\u00e9 alpha, <x> don't \u03a3", "", "12 \u4e2d\u6587"], ["BETA gamma Delta! \u00c9t\u00e9", "delta ALPHA\nGamma"]
+    for texts, again in ((first, {"alpha", "beta", "\u00e9t\u00e9"}), (then, {"beta", "delta", "\u00e9t\u00e9", "alpha", "gamma"})):
+        asked.clear()
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+        assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert set(asked) == again
+
+
 @pytest.mark.parametrize("part", ["abcdefgh", "日本語の文章", "a", "=-", "word"])
 def test_long_unbroken_pieces(part):
     ranks = bpe.parse_ranks(file_bytes(RANKS))

@@ -274,17 +274,21 @@ class UnitTable:
         coded = bare.dictionary_encode()
         names, of = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         ends = signs.dictionary_encode()
-        # a key stands for a piece with a blank before it, or for one without
-        number = np.full(2 * len(names), -1)
-        asked = of + np.where(blank, 0, len(names))
-        keys = np.unique(asked[used])
-        number[keys] = np.arange(len(keys))
-        texts = [names[k] if k < len(names) else self.NO_BLANK + names[k - len(names)] for k in keys.tolist()]
+        if self.NO_BLANK and not blank.all():
+            # a key stands for a piece with a blank before it, or for one without
+            number = np.full(2 * len(names), -1)
+            asked = of + np.where(blank, 0, len(names))
+            keys = np.unique(asked[used])
+            number[keys] = np.arange(len(keys))
+            of = number[asked]
+            texts = [names[k] if k < len(names) else self.NO_BLANK + names[k - len(names)] for k in keys.tolist()]
+        else:
+            texts = names
         tails = ends.dictionary.to_numpy(zero_copy_only=False).tolist()
         places = self._places(texts + [self.NO_BLANK + t for t in tails if t])
         tail = np.zeros(len(tails), np.int64)
         tail[[k for k, t in enumerate(tails) if t]] = places[len(texts) :]
-        return places[number[asked]], tail[ends.indices.to_numpy()]
+        return places[of], tail[ends.indices.to_numpy()]
 
     def _look_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all distinct units, where those of each unit of all texts start there, how many they are, end of each text's units, which texts are to be encoded whole)."""

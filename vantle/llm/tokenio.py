@@ -68,7 +68,7 @@ def _whole_rounds(current: np.ndarray, free: int, least: int, lefts: list[np.nda
         stands = np.zeros(1 << BITS, np.uint64)
         stands[bucket] = pair
         same = stands[bucket] == pair
-        count = np.bincount(bucket[same], minlength=1 << BITS).astype(np.int32)
+        count = np.bincount(bucket.take(np.flatnonzero(same)), minlength=1 << BITS).astype(np.int32)
         count[count < least] = 0
         weight = np.zeros(len(pair) + 2, np.int32)
         np.multiply(count[bucket], same, out=weight[1:-1])
@@ -76,8 +76,8 @@ def _whole_rounds(current: np.ndarray, free: int, least: int, lefts: list[np.nda
         at = np.flatnonzero((middle > weight[:-2]) & (middle >= weight[2:]))
         which = bucket[at]
         often = np.bincount(which, minlength=1 << BITS) >= least
-        good = often[which]
-        at, which = at[good], which[good]
+        good = np.flatnonzero(often[which])
+        at, which = at.take(good), which.take(good)
         if not len(at):
             break
         rules = np.flatnonzero(often)
@@ -91,7 +91,7 @@ def _whole_rounds(current: np.ndarray, free: int, least: int, lefts: list[np.nda
         keep = np.ones(len(current), bool)
         keep[at + 1] = False
         saved, before = len(at) - 2 * len(rules), len(current)
-        current = shorter[keep]
+        current = shorter.take(np.flatnonzero(keep))
         if saved < HAND_OVER * before:
             break
     return current
@@ -119,7 +119,7 @@ def _incremental_rounds(current: np.ndarray, free: int, least: int, lefts: list[
     while len(places):
         follower = after[places]
         pair = symbols[places] << np.uint64(32) | symbols[follower]
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         ranked = pair[order]
         new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
         of = np.empty(len(places), np.int32)
@@ -135,8 +135,8 @@ def _incremental_rounds(current: np.ndarray, free: int, least: int, lefts: list[
         # frequent pairs by count and then by their symbols, from 1 on
         grade = np.zeros(len(count), np.int32)
         grade[np.flatnonzero(often)[np.argsort(count[often], kind="stable")]] = np.arange(1, int(often.sum()) + 1)
-        keep = often[of]
-        places, follower, of, odd, pair = places[keep], follower[keep], of[keep], odd[keep], pair[keep]
+        keep = np.flatnonzero(often[of])
+        places, follower, of, odd = places.take(keep), follower.take(keep), of.take(keep), odd.take(keep)
         rank[places] = grade[of]
         won = _winners(rank[places], rank[before[places]], rank[follower], odd)
         enough = np.bincount(of[won], minlength=len(count)) >= least
@@ -156,10 +156,9 @@ def _incremental_rounds(current: np.ndarray, free: int, least: int, lefts: list[
         after[at], before[beyond] = beyond, at
         before[n] = n
         touched = np.concatenate([places[~won], at, before[at]])
-        touched = touched[alive[touched]]
-        touched = touched[(touched < n) & (after[touched] < n)]
+        touched = touched.take(np.flatnonzero(alive[touched] & (touched < n) & (after[touched] < n)))
         places = np.unique(touched)
-    return symbols[:n][alive[:n]].astype(np.uint32)
+    return symbols.take(np.flatnonzero(alive[:n])).astype(np.uint32)
 
 
 def compress(ids: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:

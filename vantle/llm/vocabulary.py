@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,31 +86,15 @@ class LibraryEncoder:
         """All units' ids in one array, and how many each has. A plain unit is a line feed or nothing, and a word."""
         if not self.direct:
             return self._library(units)
-        number: dict[str, int] = {}  # distinct words
-        other: list[str] = []  # units that aren't of this form
-        feeds, of = bytearray(len(units)), array("q")  # of is -1 - place in other
-        for k, unit in enumerate(units):
-            word = unit
-            if unit[:1] == "\n":
-                word = unit[1:]
-                feeds[k] = 1
-            bare = word[1:] if word[:1] == " " else word
-            if bare.isalpha() and (bare.isascii() or LATIN(bare)):
-                if self.lower:
-                    word = word.lower()
-                of.append(number.setdefault(word, len(number)))
-            else:
-                of.append(-1 - len(other))
-                other.append(unit)
-                feeds[k] = 0
-        feed, word = np.frombuffer(feeds, np.uint8), np.frombuffer(of, np.int64)
-        words = list(number)
+        words, word, feed, other, changed = self._lowered(units) if self.lower else self._prefixed(units)
         ids, size, order = [], np.zeros(len(words), np.int64), np.arange(len(words))
         if words and self.lower:
-            # the table may know a word in lower case by now
-            there, got, size[there] = self.table.known(words)
+            # the table lacks all units, but may know a word that was not in lower case by now
+            there, got, n = self.table.known([words[k] for k in changed.tolist()])
+            there = changed[there]
+            size[there] = n
             new = np.setdiff1d(order, there, assume_unique=True)
-            made, size[new] = self._model([words[k] for k in new.tolist()])
+            made, size[new] = self._model([words[k] for k in new.tolist()] if len(there) else words)
             ids, order = [got, made], np.concatenate([there, new])
         elif words:
             made, size = self._model(words)
@@ -125,6 +110,48 @@ class LibraryEncoder:
         piece = np.stack([np.where(feed, nothing - 1, nothing), np.where(word < 0, len(words) - 1 - word, word)], 1)
         return np.concatenate(ids)[spans(at[piece].ravel(), size[piece].ravel())], size[piece].sum(1)
 
+    def _prefixed(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """(distinct words, each unit's number there or -1 - its number in other, which have a line feed before the word, other units, words that aren't units)."""
+        number: dict[str, int] = {}  # distinct words
+        other: list[str] = []  # units that aren't of this form
+        feeds, of = bytearray(len(units)), array("q")
+        for k, unit in enumerate(units):
+            word = unit
+            if unit[:1] == "\n":
+                word = unit[1:]
+                feeds[k] = 1
+            bare = word[1:] if word[:1] == " " else word
+            if bare.isalpha() and (bare.isascii() or LATIN(bare)):
+                of.append(number.setdefault(word, len(number)))
+            else:
+                of.append(-1 - len(other))
+                other.append(unit)
+                feeds[k] = 0
+        return list(number), np.frombuffer(of, np.int64), np.frombuffer(feeds, np.uint8), other, np.empty(0, np.int64)
+
+    def _lowered(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """The same of units without white space, with words in lower case: ASCII words by Arrow's kernels."""
+        names = pa.array(units, pa.large_string())
+        plain = pc.ascii_is_alpha(names)
+        of = np.empty(len(units), np.int64)
+        at = np.flatnonzero(plain.to_numpy(zero_copy_only=False))
+        named = names.filter(plain)
+        small = pc.ascii_lower(named)
+        coded = small.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        of[at] = coded.indices.to_numpy()
+        changed = np.unique(of[at[pc.not_equal(named, small).to_numpy(zero_copy_only=False)]])
+        number: dict[str, int] = {}  # words of other letters
+        other: list[str] = []
+        for k in np.flatnonzero(~plain.to_numpy(zero_copy_only=False)).tolist():
+            unit = units[k]
+            if unit.isalpha() and LATIN(unit):
+                of[k] = len(words) + number.setdefault(unit.lower(), len(number))
+            else:
+                of[k] = -1 - len(other)
+                other.append(unit)
+        return words + list(number), of, np.zeros(len(units), np.uint8), other, np.concatenate([changed, len(words) + np.arange(len(number))])
+
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
