@@ -155,6 +155,25 @@ def test_repeated_ids_with_different_texts(spark):
     assert (5, 59, 3, False) in got and (5, 59, 5, True) in got and (8, 60, 5, False) in got and (11, 60, 10, False) in got and (9, 0, 9, True) in got
 
 
+def test_the_forest_is_stored_in_few_files(spark, monkeypatch):
+    """What the tasks of all trees find is one small table, however many tasks there are; its groups are whole."""
+    rows = corpus(200, 5, 60)
+    stored = {}
+    monkeypatch.setattr(minhash, "written", lambda df, name: stored.setdefault(name, written(df, name)))
+    # partitions so small that the trees' rows fill all tasks, as those of a large table do
+    small = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 2)
+    assert len(stored["forest"].inputFiles()) <= 2
+
+
 def test_links_are_whole():
     rng = np.random.default_rng(4)
     base = np.arange(100, dtype=np.uint64)

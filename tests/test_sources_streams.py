@@ -158,6 +158,17 @@ def test_stored_tables_are_dropped(spark, monkeypatch):
     assert session.drop_written(spark) == 1 and not os.path.exists(path.removeprefix("file://"))
 
 
+def test_a_stored_table_has_no_files_beside_its_own(spark):
+    """Every file that Hadoop creates on a local disk starts a process: one a partition and the marker, no checksum files."""
+    from vantle import session
+
+    stored = session.written(spark.range(30).repartition(3), "plain")
+    folder = os.path.dirname(stored.inputFiles()[0].removeprefix("file://"))
+    names = sorted(os.listdir(folder))
+    assert names[0] == "_SUCCESS" and len(names) == 4 and all(x.endswith(".parquet") for x in names[1:])
+    assert sorted(r.id for r in stored.collect()) == list(range(30))
+
+
 def test_chemicals_without_an_amount_are_reported(spark):
     from vantle.plans import geography
 

@@ -241,7 +241,8 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
 
     rows = classes.select(F.col("node").alias("id"), "signature").mapInArrow(released(orders), "key binary, id long, sketch binary")
     rows = rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
-    found = written(rows.mapInArrow(released(scan), ROWS), "forest")
+    # what a task finds is little: rebalanced, it takes a few files instead of one a task
+    found = written(rows.mapInArrow(released(scan), ROWS).hint("rebalance"), "forest")
     cut = found.filter("prefix is not null").select("a", "prefix", "sketch").dropDuplicates(["a", "prefix"]).groupBy("prefix").applyInArrow(rejoin, "a long, b long")
     return found.filter("b is not null").select("a", "b").unionByName(cut.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).filter("a <> b").distinct()
 

@@ -71,6 +71,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 #: Folders that this process has written and not dropped.
 _WRITTEN: list[str] = []
 
+#: How ``written`` stores tables on a local or mounted disk: without a checksum file beside each file.
+#: Hadoop starts a process (chmod) for every file it creates there, and a JVM that is starting one can
+#: be counted twice by who adds up an executor's memory. Parquet keeps checksums of its pages.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 
 def drop_written(spark: SparkSession) -> int:
     """Delete the tables that ``written`` has stored so far; how many. Frames that read them end with it."""
@@ -89,5 +94,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, name)
     _WRITTEN.append(path)
-    df.write.parquet(path)
+    df.write.options(**PLAIN_FILES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
